@@ -83,15 +83,35 @@ def ordered_label(name: str, narrow_first: bool = False) -> str | None:
     return _title(name)
 
 
+def sql_number(value: float) -> str:
+    """A float as a SQL double literal."""
+    return f"{float(value)!r}D"
+
+
+def sql_text(value: str | None) -> str:
+    """A SQL string literal, or a typed null."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values: Sequence[str | None]) -> Column:
+    return F.expr(f"array({', '.join(sql_text(v) for v in values)})")
+
+
+def number_array(values: Sequence[float]) -> Column:
+    return F.expr(f"array({', '.join(sql_number(v) for v in values)})")
+
+
 def label_array(names: Sequence[str], chooser=ordered_label) -> Column:
     """Literal array of labels in feature order; skipped features hold null."""
-    return F.array(*[F.lit(chooser(n)).cast("string") for n in names])
+    return text_array([chooser(n) for n in names])
 
 
 def action_for(factor: Column) -> Column:
     """Corrective action for a label, or the general advice."""
-    pairs = [F.lit(part) for item in K.ACTIONS.items() for part in item]
-    return F.coalesce(F.element_at(F.create_map(*pairs), factor), F.lit(K.DEFAULT_ACTION))
+    pairs = ", ".join(f"{sql_text(label)}, {sql_text(action)}" for label, action in K.ACTIONS.items())
+    return F.coalesce(F.element_at(F.expr(f"map({pairs})"), factor), F.lit(K.DEFAULT_ACTION))
 
 
 def feature_name(column: str, level: str | None = None) -> str:

@@ -6,7 +6,7 @@ models, calibrated models and ensembles can replace each other.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -60,26 +60,26 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def _weight_map(df: DataFrame, weights: str | Mapping[int, float] | None) -> dict[int, float] | None:
-    if weights == "balanced":
-        return {int(r["label"]): float(r["weight"]) for r in class_weights(df).collect()}
-    return dict(weights) if weights else None
-
-
 def weighted(df: DataFrame, weights: str | Mapping[int, float] | None) -> tuple[DataFrame, float]:
-    """Adds ``weight`` and returns it with the sum of weights.  The two class counts are the only data fetched."""
-    table = _weight_map(df, weights)
+    """Adds ``weight`` and returns it with the sum of weights.
+
+    ``weights`` is ``"balanced"``, a weight per class, or ``None``.  Only the class counts are fetched.
+    """
     counts = {int(r["label"]): r["count"] for r in df.groupBy("label").count().collect()}
-    if table is None:
-        return df.withColumn("weight", F.lit(1.0)), float(sum(counts.values()))
-    by_class = F.create_map(*[F.lit(v) for k, w in table.items() for v in (int(k), float(w))])
-    total = sum(n * table.get(k, 1.0) for k, n in counts.items())
-    return df.withColumn("weight", F.coalesce(by_class[F.col("label").cast("int")], F.lit(1.0))), float(total)
+    rows = sum(counts.values())
+    if weights == "balanced":
+        table = {c: rows / (len(counts) * n) for c, n in counts.items()}
+    else:
+        table = dict(weights or {})
+    weight = F.lit(1.0)
+    for c, w in table.items():
+        weight = F.when(F.col("label") == int(c), F.lit(float(w))).otherwise(weight)
+    return df.withColumn("weight", weight), float(sum(n * table.get(c, 1.0) for c, n in counts.items()))
 
 
 # --- logistic regression ------------------------------------------------------------------------
 
-def fit_logistic(df: DataFrame, c: float = 1.0, class_weight="balanced", max_iter: int = 1000) -> Fitted:
+def fit_logistic(df: DataFrame, c: float = 1.0, class_weight="balanced", max_iter: int = 1000, tol: float = 1e-6) -> Fitted:
     """L2 logistic regression with inverse regularisation strength ``c``.
 
     The penalty is stated per unit of weight: ``1 / (c * sum of weights)``.
@@ -91,7 +91,7 @@ def fit_logistic(df: DataFrame, c: float = 1.0, class_weight="balanced", max_ite
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
-        tol=1e-8,
+        tol=tol,
     )
     return Fitted(learner.fit(rows))
 
@@ -165,7 +165,6 @@ def fit_boosted(
         featureSubsetStrategy="all" if column_share >= 1.0 else str(column_share),
         minInstancesPerNode=min_leaf,
         weightCol="weight",
-        cacheNodeIds=True,
         seed=seed,
         **options,
     )
@@ -259,6 +258,3 @@ class Chance:
 
 def fit_chance(df: DataFrame, key: str = K.KEY, seed: int = K.SEED) -> Chance:
     return Chance(float(df.agg(F.avg("label")).first()[0]), key, seed)
-
-
-FitFunction = Callable[[DataFrame], Scorer]

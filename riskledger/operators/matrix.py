@@ -12,11 +12,11 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger import constants as K
-from riskledger.functions.wording import feature_name
+from riskledger.functions.wording import feature_name, sql_number
 
 
 @dataclass
@@ -39,11 +39,6 @@ def numeric_statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple
     return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in columns}
 
 
-def standardised(column: str, mean: float, spread: float) -> Column:
-    """``(x - mean) / spread``; a constant column is only centred."""
-    return (F.col(column).cast("double") - F.lit(mean)) / F.lit(spread if spread else 1.0)
-
-
 def fit_matrix(
     df: DataFrame,
     categories: Sequence[str] = K.CATEGORIES,
@@ -68,7 +63,9 @@ def fit_matrix(
     ).fit(indexer.transform(df.limit(1)))
     stats = numeric_statistics(df, numbers)
     scaled = ", ".join(
-        f"(CAST(`{c}` AS DOUBLE) - {m!r}D) / {(s or 1.0)!r}D AS `{c}_std`" for c, (m, s) in stats.items()
+        # A constant column is only centred.
+        f"(CAST(`{c}` AS DOUBLE) - {sql_number(m)}) / {sql_number(s or 1.0)} AS `{c}_std`"
+        for c, (m, s) in stats.items()
     )
     scaler = SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__")
     assembler = VectorAssembler(

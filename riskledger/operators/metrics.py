@@ -173,10 +173,13 @@ def score_summary(
     """Unrounded figures, one row per group.
 
     The curve is reduced to one row per group and written, so that checking whether a cut-off falls
-    into a group of equal scores does not compute it twice.  Equal scores rank by ``key``.
+    into a group of equal scores does not compute it twice.  Equal scores rank by ``key``.  Rows
+    without a label are left out; a missing score fails the job.
     """
     by = list(by)
-    scored = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    # No filter on the score itself: it would be pushed below the projection that computes the score
+    # and evaluate the whole model a second time.
+    scored = df.filter(F.col(label).isNotNull())
     facts = stage_table(_summaries(score_curve(scored, by, score, label), by, k_frac, threshold, share), "summary")
     if not facts.filter("tie_open").limit(1).isEmpty():
         facts = _settle_ties(facts, scored, by, score, label, key)

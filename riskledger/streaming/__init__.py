@@ -1,0 +1 @@
+"""The row-local steps on a stream."""

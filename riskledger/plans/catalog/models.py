@@ -15,7 +15,7 @@ from riskledger.operators import metrics as M
 from riskledger.operators import runs as R
 from riskledger.operators.matrix import Matrix, fit_matrix, matrix_columns
 from riskledger.plans import experiments as P
-from riskledger.plans.catalog.base import EXPECTED, LEVELS, add, features, model_scores, quoted
+from riskledger.plans.catalog.base import LEVELS, add, features, model_scores, quoted
 from riskledger.plans.review import labelled, metrics_document, score_current, train
 from riskledger.sources import stores
 from riskledger.workspace import checkpoints_on, fresh_path, stage_table
@@ -286,13 +286,3 @@ def sc_experiment_predictions(spark, folder) -> DataFrame:
 
 
 add("sc_experiment_predictions", sc_experiment_predictions)
-
-
-def io_write_metrics(spark, folder) -> DataFrame:
-    """The evaluation of every model as one JSON document each."""
-    path = fresh_path(spark, "metrics")
-    stores.write_metrics(M.evaluate(model_scores(spark, folder)).select("model", *_METRICS, "f1"), path)
-    return spark.read.schema("model string, capture_at_25 double, roc_auc double, pr_auc double, brier double, f1 double").json(path)
-
-
-add("io_write_metrics", io_write_metrics, EXPECTED["mt_evaluate"].replace("SELECT model,", "SELECT model, capture_at_25, roc_auc, pr_auc, brier, f1 FROM (SELECT model,", 1) + ") AS doc")

@@ -15,6 +15,8 @@ from riskledger.plans.catalog.base import (
     SCORECARD, add, card_scores, claims_from_orders, current_claims, features, history_claims, model_scores, quoted, tiered,
 )
 from riskledger.plans.review import card_threshold, score_with_card
+from riskledger.sources.stores import write_metrics
+from riskledger.workspace import fresh_path
 
 # --- metrics ------------------------------------------------------------------------------------
 
@@ -88,15 +90,25 @@ def mt_evaluate(spark, folder) -> DataFrame:
     )
 
 
-add("mt_evaluate", mt_evaluate, f"""
+_EVALUATE_SQL = f"""
 SELECT model, round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc, round(brier, 4) AS brier,
   round(caught / CAST(positives AS DOUBLE), 4) AS capture_at_25, round(caught / CAST(k AS DOUBLE), 4) AS precision_at_25,
   round(cut, 6) AS binary_threshold, round(2 * tp / CAST(2 * tp + fp + fn AS DOUBLE), 4) AS f1,
   round(tp / CAST(tp + fp AS DOUBLE), 4) AS precision, round(tp / CAST(tp + fn AS DOUBLE), 4) AS recall, tn, fp, fn, tp
 FROM ({_AUC}) AS a JOIN ({_AP}) AS b USING (model) JOIN ({_TOP}) AS c USING (model) JOIN ({_CONFUSION}) AS d USING (model)
-JOIN (SELECT model, avg((prob - label) * (prob - label)) AS brier FROM models GROUP BY model) AS e USING (model)""")
+JOIN (SELECT model, avg((prob - label) * (prob - label)) AS brier FROM models GROUP BY model) AS e USING (model)"""
+add("mt_evaluate", mt_evaluate, _EVALUATE_SQL)
+_DOCUMENT = ("model", "capture_at_25", "roc_auc", "pr_auc", "brier", "f1")
 
 
+def io_write_metrics(spark, folder) -> DataFrame:
+    """The evaluation of every model as one JSON document each, written and read back."""
+    path = fresh_path(spark, "metrics")
+    write_metrics(M.evaluate(model_scores(spark, folder)).select(*_DOCUMENT), path)
+    return spark.read.schema("model string, " + ", ".join(f"{c} double" for c in _DOCUMENT[1:])).json(path)
+
+
+add("io_write_metrics", io_write_metrics, f"SELECT {', '.join(_DOCUMENT)} FROM ({_EVALUATE_SQL}) AS doc")
 def mt_calibration_gain(spark, folder) -> DataFrame:
     held = card_scores(spark, folder).filter(F.col(K.SPLIT) == "validation").withColumnRenamed(K.TARGET, "label")
     gain = M.calibration_gain(held, "raw_prob", "prob")

@@ -12,7 +12,9 @@ from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -147,15 +149,9 @@ def fit_boosted(
     column_share: float = 1.0,
     min_leaf: int = 1,
     positive_weight: float = 1.0,
-    validation: DataFrame | None = None,
     seed: int = K.SEED,
 ) -> Fitted:
-    """Gradient-boosted trees; with ``validation`` rows, boosting stops once they no longer improve."""
-    options: dict[str, Any] = {}
-    if validation is not None:
-        held = validation.withColumn("_held", F.lit(True))
-        df = df.withColumn("_held", F.lit(False)).unionByName(held)
-        options["validationIndicatorCol"] = "_held"
+    """Gradient-boosted trees."""
     rows, _ = weighted(df, {0: 1.0, 1: positive_weight})
     learner = GBTClassifier(
         maxIter=rounds,
@@ -166,11 +162,52 @@ def fit_boosted(
         minInstancesPerNode=min_leaf,
         weightCol="weight",
         seed=seed,
-        **options,
     )
     return Fitted(learner.fit(rows))
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the lowest loss before ``patience`` rounds pass without a lower one.
+
+    The flag tells whether the patience ran out within the given losses.
+    """
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The boosted model made of the first trees only."""
+    context = SparkContext._active_spark_context
+    java = context._jvm.org.apache.spark.ml
+    trees = context._gateway.new_array(java.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i] = model._java_obj.trees()[i]
+        weights[i] = model.treeWeights[i]
+    return GBTClassificationModel(java.classification.GBTClassificationModel(model.uid, trees, weights))
+
+
+def fit_boosted_early(df: DataFrame, validation: DataFrame, rounds: int = 300, patience: int = 30, start: int = 75, **options) -> Fitted:
+    """Boosting that keeps the rounds up to the lowest validation loss.
+
+    It looks for a stretch of ``patience`` rounds without improvement, first among ``start`` rounds
+    and then among twice as many, so a model that stops early does not pay for all ``rounds``.
+    """
+    size = min(start, rounds)
+    watched = validation.withColumn("weight", F.lit(1.0))
+    while True:
+        fitted = fit_boosted(df, rounds=size, **options)
+        kept, stopped = best_round(fitted.model.evaluateEachIteration(watched), patience)
+        if stopped or size >= rounds:
+            return Fitted(first_rounds(fitted.model, kept))
+        size = min(rounds, 2 * size)
+
+
 # --- neural network and kernel machine ----------------------------------------------------------
 
 def fit_network(df: DataFrame, hidden: Sequence[int] = (64, 32), max_iter: int = 500, seed: int = K.SEED) -> Fitted:

@@ -47,8 +47,8 @@ FULL = Sizes()
 
 def boosted_early(rows: DataFrame, validation: DataFrame, rounds: int = 300) -> L.Fitted:
     """Boosted trees with row and column sampling that stop once validation rows no longer improve."""
-    return L.fit_boosted(
-        rows, rounds=rounds, depth=6, row_share=0.8, column_share=0.8, positive_weight=3.6, validation=validation
+    return L.fit_boosted_early(
+        rows, validation, rounds=rounds, depth=6, row_share=0.8, column_share=0.8, positive_weight=3.6
     )
 
 

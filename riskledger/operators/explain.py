@@ -145,25 +145,40 @@ def plain_text(response: Column) -> Column:
 
 # --- completions --------------------------------------------------------------------------------
 
-def complete(routed_rows: DataFrame, function: CompletionFunction, prompt_column: str = "prompt", lanes: int | None = None) -> DataFrame:
+def complete(
+    routed_rows: DataFrame,
+    function: CompletionFunction,
+    prompt_column: str = "prompt",
+    lanes: int | None = None,
+    batch: int = 32,
+) -> DataFrame:
     """Adds the completion columns to rows that need one.
 
-    ``function`` maps a batch of prompts to a frame with the completion columns; an exception for a
-    batch counts as failed calls.  ``lanes`` sets how many batches run at a time.  The result is
-    written once, so that later steps never repeat a call.
+    ``function`` maps up to ``batch`` prompts to a frame with the completion columns; an exception
+    counts as a failed call for those prompts only.  ``lanes`` sets how many batches run at a time.
+    The result is written once, so that later steps never repeat a call.
     """
     spread = routed_rows.repartition(lanes) if lanes else routed_rows
     schema = T.StructType([*routed_rows.schema.fields, *COMPLETION_SCHEMA.fields])
+    names = list(COMPLETION_COLUMNS)
+
+    def answer(prompts: pd.Series) -> list[dict]:
+        try:
+            got = function(prompts.reset_index(drop=True)).astype(object)
+            replies = got.where(got.notna(), None).to_dict("records")
+            if len(replies) == len(prompts):
+                return replies
+        except Exception:  # noqa: BLE001 - a failed call is data here
+            pass
+        return [{"responded": False}] * len(prompts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            try:
-                got = function(rows[prompt_column]).reset_index(drop=True)
-            except Exception:  # noqa: BLE001 - a failed call is data here
-                got = pd.DataFrame({"responded": [False] * len(rows)})
-            got = got.reindex(columns=COMPLETION_COLUMNS)
-            got["responded"] = got["responded"].fillna(False).astype(bool)
-            yield pd.concat([rows.reset_index(drop=True), got], axis=1)
+            prompts = rows[prompt_column]
+            replies = [r for i in range(0, len(rows), batch) for r in answer(prompts.iloc[i:i + batch])]
+            columns = {n: pd.Series([r.get(n) for r in replies], index=rows.index, dtype=object) for n in names}
+            columns["responded"] = columns["responded"].map(bool)
+            yield rows.assign(**columns)
 
     return stage_table(spread.mapInPandas(run, schema), "completions")
 

@@ -279,19 +279,26 @@ add("xp_plain_text", xp_plain_text, "SELECT claim_id, template_text AS text FROM
 # --- completions and parsing --------------------------------------------------------------------
 
 
-def stub_writer(prompts: pd.Series) -> pd.DataFrame:
-    """A completion function that answers from the prompt alone."""
-    ids = prompts.str.extract(r"Claim ID: (\S+)", expand=False)
-    raw = '{"claim_id": "' + ids + '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "Review them first."}'
-    return pd.DataFrame({
-        "responded": True, "raw": raw, "prompt_tokens": prompts.str.len(), "completion_tokens": raw.str.len(),
-        "total_duration_ns": prompts.str.len() * 1_000_000, "eval_duration_ns": None,
-    })
+def stub_writer():
+    """A completion function that answers from the prompt alone.
+
+    It is made inside a function so that it travels to the workers by value.
+    """
+
+    def write(prompts: pd.Series) -> pd.DataFrame:
+        ids = prompts.str.extract(r"Claim ID: (\S+)", expand=False)
+        raw = '{"claim_id": "' + ids + '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "Review them first."}'
+        return pd.DataFrame({
+            "responded": True, "raw": raw, "prompt_tokens": prompts.str.len(), "completion_tokens": raw.str.len(),
+            "total_duration_ns": prompts.str.len() * 1_000_000, "eval_duration_ns": None,
+        })
+
+    return write
 
 
 def xp_complete(spark, folder) -> DataFrame:
     routed = _prepared(spark, folder).filter("use_api").select(K.KEY, "prompt")
-    return E.complete(routed, stub_writer).select(K.KEY, "responded", "raw", "prompt_tokens", "completion_tokens")
+    return E.complete(routed, stub_writer()).select(K.KEY, "responded", "raw", "prompt_tokens", "completion_tokens")
 
 
 add("xp_complete", xp_complete, """

@@ -111,16 +111,23 @@ def test_parsing(spark):
     assert got[8].parse_errors == ["not valid JSON"] and got[0].parse_errors == []
 
 
-def answer(prompts: pd.Series) -> pd.DataFrame:
-    ids = prompts.str.extract(r"Claim ID: (\S+)", expand=False)
-    if (ids == "BOOM").any():
-        raise RuntimeError("no connection")
-    return pd.DataFrame({"responded": True, "raw": [spoiled(claim_id=i) if i != "E" else "" for i in ids], "prompt_tokens": 10, "completion_tokens": 5, "total_duration_ns": 2_500_000})
+def answering():
+    """A completion function by value: no reply for E, an error for BOOM."""
+    good = dict(GOOD)
+
+    def answer(prompts: pd.Series) -> pd.DataFrame:
+        ids = prompts.str.extract(r"Claim ID: (\S+)", expand=False)
+        if (ids == "BOOM").any():
+            raise RuntimeError("no connection")
+        raw = ["" if i == "E" else json.dumps(good | {"claim_id": i}) for i in ids]
+        return pd.DataFrame({"responded": True, "raw": raw, "prompt_tokens": 10, "completion_tokens": 5, "total_duration_ns": 2_500_000})
+
+    return answer
 
 
 def test_only_routed_rows_are_completed_and_failures_fall_back(spark):
     scored = rows(spark, ("A", 0.9, [AUTH], "High"), ("E", 0.9, [AUTH], "High"), ("M", 0.9, [AUTH], "Medium"), ("N", 0.9, [K.NO_FLAGS], "High"), ("L", 0.1, [AUTH], "Low"))
-    explained = E.explain(scored, completion=answer)
+    explained = E.explain(scored, completion=answering())
     got = {r.claim_id: r for r in explained.collect()}
     assert {k for k, r in got.items() if r.responded is not None} == {"A", "E"}
     assert got["A"].explanation == PLAIN and got["E"].explanation.startswith("This claim has an estimated")
@@ -129,7 +136,7 @@ def test_only_routed_rows_are_completed_and_failures_fall_back(spark):
     assert (log["E"].fallback_reason, log["E"].api_error, log["E"].is_from_api) == (K.REASON_EMPTY, K.ERROR_EMPTY, True)
     assert log["E"].quality_warnings == ["Empty response text"]
     assert log["M"].fallback_reason == K.REASON_TEMPLATE and log["N"].fallback_reason == log["L"].fallback_reason == K.REASON_BYPASS
-    failed = U.records(E.explain(rows(spark, ("BOOM", 0.9, [AUTH], "High")), completion=answer), "m").first()
+    failed = U.records(E.explain(rows(spark, ("BOOM", 0.9, [AUTH], "High")), completion=answering()), "m").first()
     assert (failed.api_error, failed.is_from_api, failed.response_length_chars) == (K.ERROR_FAILED, False, 0)
 
 
@@ -155,7 +162,7 @@ def test_quality(spark):
 
 def test_audit_tables(spark, tmp_path):
     scored = rows(spark, ("A", 0.9, [AUTH], "High"), ("L", 0.1, [AUTH], "Low"))
-    log = U.records(E.explain(scored, completion=answer), "m")
+    log = U.records(E.explain(scored, completion=answering()), "m")
     assert log.columns == U.RECORD_SCHEMA.names
     path = str(tmp_path / "audit")
     stores.write_audit(log, path, "r1")

@@ -75,12 +75,12 @@ def test_sweep_keeps_the_earliest_best(sample):
 
 def test_trees_votes_and_stacks_beat_chance(sample):
     frame, _, _ = sample
-    small = P.Sizes(trees=5, rounds=5, network_steps=20, folds=2)
+    small = P.Sizes(trees=3, rounds=3, folds=2)
     members = P.Members(small)
     models = {
-        "forest": L.fit_forest(frame, trees=5, min_leaf=5), "early": L.fit_boosted_early(frame, frame, rounds=6, patience=3, start=3),
+        "forest": L.fit_forest(frame, trees=5, min_leaf=5), "early": L.fit_boosted_early(frame, frame, rounds=4, patience=3, start=2),
         "voting": P.voting(frame, small, members), "stacking": P.stacking(frame, small, members),
-        "network": L.fit_network(frame, max_iter=20), "kernel": N.calibrate_folds(frame, L.fit_kernel_machine, 2),
+        "network": L.fit_network(frame, max_iter=20), "kernel": N.calibrate_fitted(L.fit_kernel_machine(frame, dims=64, max_iter=20), frame),
     }
     for name, model in models.items():
         scored = model.score(frame)

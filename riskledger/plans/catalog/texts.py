@@ -326,12 +326,12 @@ add("xp_parse_rescue", xp_parse_rescue, "SELECT claim_id, found, r IS NOT NULL A
 
 
 def xp_response_validate(spark, folder) -> DataFrame:
-    rows = _completions(spark, folder).withColumn("v", E.parsed(E.strip_fence(F.col("raw")))).filter("v IS NOT NULL")
-    bad = E.response_violations(E.response_fields(F.col("v")))
+    rows = _completions(spark, folder).withColumn("v", E.parsed(E.strip_fence(F.col("raw"))))
+    bad = F.when(F.col("v").isNull(), F.array(F.lit("not valid JSON"))).otherwise(E.response_violations(E.response_fields(F.col("v"))))
     return rows.select(K.KEY, F.array_join(bad, " | ").alias("violations"))
 
 
-add("xp_response_validate", xp_response_validate, "SELECT claim_id, array_to_string(d_bad, ' | ') AS violations FROM parsed WHERE d IS NOT NULL")
+add("xp_response_validate", xp_response_validate, "SELECT claim_id, array_to_string(d_bad, ' | ') AS violations FROM parsed")
 
 
 def xp_generate(spark, folder) -> DataFrame:

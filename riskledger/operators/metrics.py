@@ -177,9 +177,11 @@ def score_summary(
     without a label are left out; a missing score fails the job.
     """
     by = list(by)
-    # No filter on the score itself: it would be pushed below the projection that computes the score
-    # and evaluate the whole model a second time.
-    scored = df.filter(F.col(label).isNotNull())
+    # The scores are read for the quantiles and again for the curve, so they are computed once and
+    # written with only the columns needed.  There is no filter on the score itself: it would be
+    # pushed below the projection that computes the score and evaluate the whole model twice.
+    needed = list(dict.fromkeys([*by, *([key] if key in df.columns else []), score, label]))
+    scored = stage_table(df.filter(F.col(label).isNotNull()).select(*needed), "scores")
     facts = stage_table(_summaries(score_curve(scored, by, score, label), by, k_frac, threshold, share), "summary")
     if not facts.filter("tie_open").limit(1).isEmpty():
         facts = _settle_ties(facts, scored, by, score, label, key)

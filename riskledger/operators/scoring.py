@@ -12,6 +12,7 @@ from riskledger import constants as K
 from riskledger.functions.wording import feature_name, sql_number, sql_text
 from riskledger.operators.ensembles import Sigmoid
 from riskledger.operators.ordering import global_rank
+from riskledger.workspace import stage_table
 
 
 @dataclass(frozen=True)
@@ -95,9 +96,11 @@ def rank_and_tier(
 ) -> DataFrame:
     """Adds ``rank`` (probability descending, then id), ``predicted_denial`` and ``risk_tier``.
 
-    Pass narrow rows: all columns of ``scored`` travel through the sort.
+    Pass narrow rows: all columns of ``scored`` travel through the sort.  They are written first,
+    because a range-partitioned sort reads its input twice (to sample the ranges and to move the
+    rows) and the model should run once.
     """
-    ranked = global_rank(scored, [F.desc(prob), F.asc(key)], total="_rows")
+    ranked = global_rank(stage_table(scored, "scores"), [F.desc(prob), F.asc(key)], total="_rows")
     return ranked.withColumns({
         "predicted_denial": predicted(F.col(prob), F.lit(float(threshold))),
         "risk_tier": tier_of_rank(F.col("rank"), F.col("_rows"), high, medium),

@@ -136,7 +136,7 @@ add("ml_platt", _fitted(lambda t, v: N.calibrate_fitted(L.fit_logistic(t, 0.1),
 add("ml_mlp", _fitted(lambda t, v: L.fit_network(t)))
 add("ml_svc_rbf", _fitted(lambda t, v: N.calibrate_folds(t, L.fit_kernel_machine, 3)))
 # The ensembles are registered with small members; P.suite() has the full sizes.
-_SMALL = P.Sizes(trees=20, rounds=20)
+_SMALL = P.Sizes(trees=10, rounds=5)
 add("ml_voting", _fitted(lambda t, v: P.voting(t, _SMALL)))
 add("ml_stacking", _fitted(lambda t, v: P.stacking(t, _SMALL)))
 

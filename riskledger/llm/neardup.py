@@ -151,31 +151,69 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long").distinct()
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Near pairs (a, b) of members (bucket, node, comp) of one bucket that are not in one component yet.
+def profiles(texts: DataFrame) -> DataFrame:
+    """node, signature and the shingle hashes cut to 32 bits; equal shingles stay equal, so no similarity gets smaller."""
 
-    Only buckets with several components take part.  Large buckets are cut into blocks; each two blocks
-    meet in one group of bounded size, which puts out near pairs alone.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                sets = [shingles(t) for t in as_bytes(part.column("text"))]
+                items = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in sets]
+                yield pa.RecordBatch.from_pydict({
+                    "node": part.column("doc_id"), "signature": pa.array([signature(x).tobytes() for x in sets], pa.binary()), "items": pa.array(items, pa.binary()),
+                })
+
+    return texts.mapInArrow(run, "node long, signature binary, items binary")
+
+
+def linked_in_group(node: np.ndarray, comp: np.ndarray, signs: np.ndarray, items: list[np.ndarray]) -> np.ndarray:
+    """Pairs of different components that reach the similarity; signatures sort out most others first."""
+    size = np.array([len(x) for x in items])
+    offset = np.cumsum(size) - size
+    names, flat = np.unique(np.concatenate(items), return_inverse=True)
+    mark = np.zeros(len(names), np.bool_)
+    label, place, count = np.unique(comp, return_inverse=True, return_counts=True)
+    found = [np.zeros((0, 2), np.int64)]
+    done = np.zeros(len(node), np.bool_)
+    for k in np.argsort(count, kind="stable")[: len(label) - 1]:  # all but the largest: each pair has one of them
+        inside = np.flatnonzero(place == k)
+        done[inside] = True
+        outside = np.flatnonzero(~done)
+        for r in inside:
+            hits = outside[(signs[outside] != signs[r]).sum(axis=1) <= FAR]
+            hits = hits[100 * np.minimum(size[hits], size[r]) >= PERCENT * np.maximum(size[hits], size[r])]
+            if not len(hits):
+                continue
+            mark[flat[offset[r] : offset[r] + size[r]]] = True
+            n = size[hits]
+            start = np.cumsum(n) - n
+            spread = np.repeat(offset[hits] - start, n) + np.arange(int(n.sum()))
+            shared = np.add.reduceat(mark[flat[spread]].astype(np.int64), start)
+            mark[flat[offset[r] : offset[r] + size[r]]] = False
+            hits = hits[100 * shared >= PERCENT * (n + size[r] - shared)]
+            found.append(np.stack((np.minimum(node[hits], node[r]), np.maximum(node[hits], node[r])), axis=1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def cross_pairs(members: DataFrame, comp: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members (bucket, node) of one bucket that similarity links, but components do not yet.
+
+    Only buckets with several components take part.  Large buckets are cut into blocks; each two blocks meet in one
+    group of bounded size, which compares whole shingle sets and puts out links alone.
     """
+    members = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     mixed = mixed.filter("low != high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(mixed, "bucket").join(nodes.select("node", "signature", "n_shingles"), "node")
+    rows = members.join(mixed, "bucket")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("own", own).withColumn("other", other)
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp", "signature", "n_shingles")
+    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "comp").join(known, "node")
 
     def run(table: pa.Table) -> pa.Table:
-        node, comp, n = (np.asarray(table.column(c)) for c in ("node", "comp", "n_shingles"))
-        signs = _signs(table.column("signature"))
-        name, place, size = np.unique(comp, return_inverse=True, return_counts=True)
-        found = []
-        for k in np.argsort(size, kind="stable")[: len(name) - 1]:  # all but the largest: each pair has one of them
-            outside = np.flatnonzero(place != k)
-            for r in np.flatnonzero(place == k):
-                hits = outside[near(signs[outside], signs[r], n[outside], n[r])]
-                found.append(np.stack((np.minimum(node[hits], node[r]), np.maximum(node[hits], node[r])), axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        node, comp = (np.asarray(table.column(c)) for c in ("node", "comp"))
+        items = [np.frombuffer(x, np.uint32) for x in table.column("items").to_pylist()]
+        pairs = linked_in_group(node, comp, _signs(table.column("signature")), items)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
@@ -217,9 +255,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         near_stars = scratch.stage(near_pairs(stars, nodes), "stars")
         links = scratch.stage(confirm(near_stars, texts).union(renamed), "links1")
         comp = scratch.stage(components(links, scratch), "components1")
-        placed = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-        crossing = cross_pairs(placed, nodes).join(near_stars, ["a", "b"], "left_anti")
-        more = scratch.stage(confirm(crossing, texts), "links2")
+        more = scratch.stage(confirm(cross_pairs(members, comp, profiles(texts)), texts), "links2")
         comp = scratch.stage(components(links.union(more), scratch), "components2", keep=True)
 
         # A document's component: the smallest node reached from its class.

@@ -15,10 +15,14 @@ PRECISE_EPS = 1e-9
 COARSE_EPS = 1e-5
 
 
+#: Decimal notation: the cast alone also takes type suffixes and hexadecimal text.
+_DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
 def numeric(name: str) -> Column:
     """Number or missing: unreadable text and NaN both become null."""
     value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(F.col(name).cast("string").rlike(_DECIMAL) & ~F.isnan(value), value)
 
 
 def flag(name: str, strict: bool = True) -> Column:

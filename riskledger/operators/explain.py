@@ -154,8 +154,8 @@ def complete(
 ) -> DataFrame:
     """Adds the completion columns to rows that need one.
 
-    ``function`` maps up to ``batch`` prompts to a frame with the completion columns; an exception
-    counts as a failed call for those prompts only.  ``lanes`` sets how many batches run at a time.
+    ``function`` maps up to ``batch`` prompts to a frame with the completion columns; prompts of a failed
+    batch are tried one at a time, and one that fails alone has no response.  ``lanes`` sets how many batches run at a time.
     The result is written once, so that later steps never repeat a call.
     """
     spread = routed_rows.repartition(lanes) if lanes else routed_rows
@@ -170,7 +170,9 @@ def complete(
                 return replies
         except Exception:  # noqa: BLE001 - a failed call is data here
             pass
-        return [{"responded": False}] * len(prompts)
+        if len(prompts) > 1:  # one bad prompt fails alone
+            return [r for i in range(len(prompts)) for r in answer(prompts.iloc[i:i + 1])]
+        return [{"responded": False}]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -204,7 +206,7 @@ def parsed(text: Column) -> Column:
 def response_fields(value: Column) -> Column:
     """The four fields of a parsed response; a field of another type than text is null.
 
-    Id and disclaimer lose surrounding blanks; other keys are ignored.
+    Other keys are ignored.
     """
     def text(name: str) -> Column:
         found = F.try_variant_get(value, f"$.{name}", "variant")
@@ -225,7 +227,7 @@ def response_violations(fields: Column) -> Column:
     for phrase in K.DISCLAIMER_PHRASES:
         qualified = qualified | said.contains(phrase)
     rules.append((~qualified, "disclaimer: uncertainty qualifier required"))
-    rules.append((F.trim(fields["claim_id"]) == "", "claim_id: blank"))
+    rules.append((F.regexp_replace(fields["claim_id"], r"^\s+|\s+$", "") == "", "claim_id: blank"))
     return _found(*rules)
 
 
@@ -303,7 +305,7 @@ def explain(
     claim id; without either, every row takes the template.  Routed rows are a separate branch, so
     the callable sees no other row.
     """
-    ready = prepare(scored)
+    ready = prepare(scored).withColumn("use_api", F.coalesce("use_api", F.lit(False)))
     if completion is None and completions is None:
         ready = ready.withColumn("use_api", F.lit(False))
     plain = ready.filter(~F.col("use_api"))
@@ -314,11 +316,18 @@ def explain(
         wide = plain.unionByName(complete(ready.filter("use_api"), completion, lanes=lanes))
     elif completions is not None:
         wide = plain.unionByName(
-            ready.filter("use_api").join(completions.select(K.KEY, *COMPLETION_COLUMNS), K.KEY, "left")
+            ready.filter("use_api").join(one_per_claim(completions), K.KEY, "left")
         )
     return settle(wide)
 
 
+def one_per_claim(completions: DataFrame) -> DataFrame:
+    """One completion per claim: one that responded before one that did not, then the smallest by its fields."""
+    reply = F.struct((~F.coalesce("responded", F.lit(False))).alias("late"), *COMPLETION_COLUMNS)
+    kept = completions.groupBy(K.KEY).agg(F.min(reply).alias("_reply"))
+    return kept.select(K.KEY, *[F.col("_reply")[c].alias(c) for c in COMPLETION_COLUMNS])
+
+
 def settle(wide: DataFrame) -> DataFrame:
     """Final text per row from its completion columns: direct, rescued, else template."""
     template = plain_text(template_response(F.col("request")))

@@ -188,7 +188,7 @@ def suite(
             ))
         except Exception as error:  # noqa: BLE001 - recorded, the next experiment still runs
             log.warning("experiment %s failed: %s", name, error)
-            rows.append(run_row(spark, name, run_id, started, "FAILED", params, None, {"error": str(error)[:500]}))
+            rows.append(run_row(spark, name, run_id, started, "FAILED", params, None, {"error": str(error)}))
     runs = reduce(DataFrame.unionByName, rows)
     stores.append_runs(runs, f"{path}/runs")
     return runs, ids

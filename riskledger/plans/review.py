@@ -17,6 +17,7 @@ from riskledger.operators.learners import Fitted, fit_logistic, score_many, swee
 from riskledger.operators.matrix import Matrix, fit_matrix
 from riskledger.operators.metrics import calibration_gain, evaluate, score_summary
 from riskledger.operators.scoring import Scorecard, rank_and_tier
+from riskledger.workspace import partition_count
 
 
 def score_with_card(claims: DataFrame, card: Scorecard, keep: Sequence[str] = ()) -> DataFrame:
@@ -79,11 +80,10 @@ class Trained:
 def labelled(df: DataFrame, matrix: Matrix) -> DataFrame:
     """Id, label and features: what learners read.
 
-    Small inputs are spread over the available cores; large ones keep their partitions.
+    Rows are spread by id over the shuffle partitions, whatever the size.
     """
     rows = matrix.transform(df).select(K.KEY, F.col(K.TARGET).alias("label"), "features")
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, K.KEY) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(partition_count(df.sparkSession), K.KEY)
 
 
 def train(

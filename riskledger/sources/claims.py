@@ -10,19 +10,23 @@ from riskledger import constants as K
 from riskledger.functions import features as X
 
 
+#: A quote inside a quoted field is written twice.
+QUOTES = {"quote": '"', "escape": '"'}
+
+
 def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    return spark.read.options(header=True, inferSchema=False, **QUOTES).csv(path).columns
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A claim CSV with every column as text; the usual spellings of "missing" become null.
 
     Only the header line is looked at to name the columns, so no pass over the data is spent on
-    guessing types.
+    guessing types.  ``multi_line`` reads quoted line breaks; such files cannot be split over tasks.
     """
     names = _header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    raw = spark.read.schema(schema).options(header=True, multiLine=multi_line, **QUOTES).csv(path)
     return raw.select(*[F.when(~F.col(n).isin(*K.MISSING_TOKENS), F.col(n)).alias(n) for n in names])
 
 
@@ -34,8 +38,8 @@ def as_typed(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.withColumns({n: c for n, c in known.items() if n in raw.columns})
 
 
-def read_typed(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    return as_typed(read_raw(spark, path), strict)
+def read_typed(spark: SparkSession, path: str, strict: bool = True, multi_line: bool = False) -> DataFrame:
+    return as_typed(read_raw(spark, path, multi_line), strict)
 
 
 def load_and_validate(

@@ -41,7 +41,7 @@ def write_scored(scored: DataFrame, path: str, file_format: str = "parquet", mod
     The sort is range-partitioned: files hold consecutive rank ranges, one file per partition.
     """
     columns = ["rank", *K.SCORED_COLUMNS] if "rank" in scored.columns else list(K.SCORED_COLUMNS)
-    writer = scored.select(*columns).orderBy("rank" if "rank" in columns else F.desc("denial_probability")).write
+    writer = scored.select(*columns).orderBy(*(["rank"] if "rank" in columns else [F.desc("denial_probability"), K.KEY])).write
     writer.mode(mode).option("header", True).format(file_format).save(path)
 
 
@@ -76,15 +76,20 @@ def read_run_documents(spark: SparkSession, folder: str) -> DataFrame:
 # --- audit logs ---------------------------------------------------------------------------------
 
 def write_audit(log: DataFrame, path: str, run_id: str) -> None:
-    """Records appended under their run, next to a one-row summary of the run.
+    """Records stored under their run, next to a one-row summary of the run; a rerun replaces both.
 
     Records stay rows: a run of any size is never gathered into one document.
     """
     tagged = log.withColumn("run_id", F.lit(run_id))
-    tagged.write.mode("append").partitionBy("run_id").parquet(f"{path}/records")
+    _replace_run(tagged, f"{path}/records")
     # The summary is taken from what was written, so it always describes the stored records.
-    stored = log.sparkSession.read.parquet(f"{path}/records").filter(F.col("run_id") == run_id)
-    run_summary(stored).write.mode("append").partitionBy("run_id").parquet(f"{path}/headers")
+    stored = read_audit(log.sparkSession, path).filter(F.col("run_id") == run_id)
+    _replace_run(run_summary(stored), f"{path}/headers")
+
+
+def _replace_run(rows: DataFrame, path: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id").parquet(path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

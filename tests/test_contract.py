@@ -68,3 +68,14 @@ def test_strict_mode_names_the_rules(spark):
     current = spark.createDataFrame([("A",)], "claim_id string")
     with pytest.raises(C.ContractError, match="key_overlap"):
         C.enforce(C.check_inputs(claims(spark, *GOOD), current, 3, 1))
+
+
+def test_quoted_fields_and_number_like_text(spark, tmp_path):
+    from riskledger.functions.features import numeric
+    from riskledger.sources.claims import read_raw
+
+    (tmp_path / "claims.csv").write_text('claim_id,payer_id\nA,"Blue ""X"", Inc"\nB,"two\nlines"\nC,P3\n')
+    rows = read_raw(spark, str(tmp_path / "claims.csv"), multi_line=True).orderBy("claim_id").collect()
+    assert [tuple(r) for r in rows] == [("A", 'Blue "X", Inc'), ("B", "two\nlines"), ("C", "P3")]
+    texts = spark.createDataFrame([(t,) for t in ("5d", "10f", "0x1p3", " 2.5 ", "1e3", "nan", "-.5", "")], "v string")
+    assert [r[0] for r in texts.select(numeric("v")).collect()] == [None, None, None, 2.5, 1000.0, None, -0.5, None]

@@ -184,3 +184,14 @@ def test_nested_audit_files(spark, tmp_path):
     got = {r.run_id: r for r in stores.read_audit_files(spark, str(tmp_path)).collect()}
     assert got["1"].token_summary is None and got["2"].token_summary.total_tokens == 7
     assert got["1"].record.risk_factors == ["x"]
+
+
+def test_one_bad_prompt_fails_alone(spark):
+    def reply(prompts):
+        if (prompts == "bad").any():
+            raise RuntimeError("refused")
+        return pd.DataFrame({"responded": [True] * len(prompts)})
+
+    rows = spark.createDataFrame([(i, "bad" if i == 3 else "fine") for i in range(8)], "i int, prompt string").coalesce(1)
+    got = {r["i"]: r["responded"] for r in E.complete(rows, reply).collect()}
+    assert got == {i: i != 3 for i in range(8)}

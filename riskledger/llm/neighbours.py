@@ -3,12 +3,15 @@
 The tree is fitted on a bounded sample and every vector is put into a leaf.  A query walks the tree best bin
 first: a priority queue holds the branches not taken, nearest centre first.  How many leaves a query visits is
 calibrated: leaf visits widen until the neighbours that brute force finds for a sample of queries are reached.
+The tree has about ``LEAVES`` leaves at any size, so the visits of a query do not grow with the table.  They come in
+two rounds: the first leaves give each query a floor, and later leaves put out only what reaches it.
 Equal vectors are one class; only as many of their ids as a result can show are carried on.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,13 +25,15 @@ from riskledger.llm.shared import Scratch
 
 TOP = 5
 BRANCHES = 8
-#: Bounds: vectors that the tree is fitted on, leaves, queries of the calibration.
+#: Bounds: vectors that the tree is fitted on, queries of the calibration.
 SAMPLE = 20_000
-MOST_LEAVES = 2048
 CALIBRATED = 256
-LEAF = 300
+#: A node of the tree is split while it holds more than this share of the sample.
+LEAVES = 256
 TARGET = 0.97
 BLOCK = 4096
+#: No cosine is below; and what rounding may change between two blocks.
+NO_FLOOR, SLACK = -2.0, 1e-9
 
 
 def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -131,12 +136,50 @@ def grow(sample: np.ndarray, leaf: float, seed: int = 5) -> Tree:
     return Tree(centres, children, max(leaves, 1))
 
 
-def best_of(scores: np.ndarray, ids: list[list[int]], most: int) -> list[tuple[float, int]]:
-    """The ``most`` nearest ids of one query, ties to smaller ids."""
-    keep = np.flatnonzero(scores >= np.partition(scores, -most)[-most]) if len(scores) > most else np.arange(len(scores))
+def best_of(scores: np.ndarray, ids: list[list[int]], most: int, floor: float) -> list[tuple[float, int]]:
+    """The ``most`` nearest ids of one query with a score of ``floor`` at least, ties to smaller ids."""
+    if len(scores) > most:
+        floor = max(floor, np.partition(scores, -most)[-most])
+    keep = np.flatnonzero(scores >= floor)
     return [(-s, i) for s, i in sorted((-float(scores[k]), i) for k in keep for i in ids[k])[:most]]
 
 
+def top_of(found: DataFrame, most: int) -> DataFrame:
+    """The ``most`` nearest of every query, ties to smaller ids."""
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= most).select("q", "vec_id", "score")
+
+
+def visited(index: DataFrame, asking: DataFrame, rows: Rows, most: int, scratch: Scratch) -> DataFrame:
+    """q, vec_id and score of the ``most`` nearest of each query in each leaf that it visits, if they reach its floor.
+
+    Blocks of a leaf meet blocks of its visitors, so that no group grows with the data.
+    """
+    parts = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    sides = asking.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sides"))
+    plan = F.broadcast(scratch.stage(parts.join(sides, "leaf"), "plan"))  # a row per leaf
+    held = index.join(plan, "leaf").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    held = held.withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    asking = asking.join(plan, "leaf").withColumn("side", F.pmod(F.xxhash64("q"), F.col("sides")).cast("int"))
+    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            ids, data = left.column("ids").to_pylist(), rows.unit(left.column("v").to_pylist())
+            names, asks = right.column("q").to_pylist(), rows.unit(right.column("qv").to_pylist())
+            floors = np.asarray(right.column("floor"))
+            for at in range(0, len(names), 256):
+                scores = asks[at : at + 256] @ data.T
+                open_ = np.flatnonzero(scores.max(axis=1) >= floors[at : at + 256])
+                out += [(names[at + k], i, s) for k in open_ for s, i in best_of(scores[k], ids, most, floors[at + k])]
+        return pa.table({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate((("q", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())))})
+
+    keys = ("leaf", "block", "side")
+    pairs = held.select(*keys, "ids", "v").groupBy(*keys).cogroup(asking.select(*keys, "q", "qv", "floor").groupBy(*keys))
+    return pairs.applyInArrow(compare, "q long, vec_id long, score double")
+
+
 def nearest(vectors: DataFrame, every: int, key: str = "vec_id", column: str = "embedding", top: int = TOP, target: float = TARGET) -> DataFrame:
     """query_id, rank, vec_id and score: the ``top`` nearest found of every vector whose key is divisible by ``every``.
 
@@ -159,13 +202,12 @@ def nearest(vectors: DataFrame, every: int, key: str = "vec_id", column: str = "
         classes = valid.withColumn("n", rank).filter(F.col("n") <= top + 1)
         classes = classes.groupBy("v").agg(F.array_sort(F.collect_list("key")).alias("ids"))
         classes = scratch.stage(classes.select(F.col("ids")[0].alias("cls"), "ids", "v"), "classes")
-        n = classes.count()
+        n = max(classes.count(), 1)
 
-        leaf = max(LEAF, n / MOST_LEAVES)
         share = F.pmod(F.xxhash64("cls", F.lit(9)), F.lit(1 << 30)) / float(1 << 30)
         sample = classes.filter(share < min(1.0, 1.2 * SAMPLE / n)).orderBy(F.xxhash64("cls", F.lit(9))).limit(SAMPLE).select("v").collect()
         fitted = rows.unit([bytes(r["v"]) for r in sample]) if sample else np.zeros((0, rows.size))
-        tree = spark.sparkContext.broadcast(grow(fitted, leaf * len(fitted) / n))  # MOST_LEAVES centres and their parents
+        tree = spark.sparkContext.broadcast(grow(fitted, len(fitted) / LEAVES))  # its size hangs on LEAVES alone
 
         def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -185,34 +227,21 @@ def nearest(vectors: DataFrame, every: int, key: str = "vec_id", column: str = "
                     part = batch.slice(at, 500)
                     leaves = [tree.value.best_first(r, visits) for r in rows.unit(part.column("v").to_pylist())]
                     take = pa.array(np.repeat(np.arange(part.num_rows), [len(x) for x in leaves]))
-                    yield pa.RecordBatch.from_pydict({"leaf": pa.array(np.concatenate(leaves)), "q": part.column("cls").take(take), "qv": part.column("v").take(take)})
-
-        walked = scratch.stage(searching.mapInArrow(walk, "leaf long, q long, qv binary"), "visits")
-        # Blocks of a leaf meet blocks of its visitors, so that no group grows with the data.
-        parts = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        sides = walked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("sides"))
-        plan = F.broadcast(scratch.stage(parts.join(sides, "leaf"), "plan"))  # a row per leaf
-        held = index.join(plan, "leaf").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-        held = held.withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-        asking = walked.join(plan, "leaf").withColumn("side", F.pmod(F.xxhash64("q"), F.col("sides")).cast("int"))
-        asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-
-        def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-            out = []
-            if left.num_rows and right.num_rows:
-                ids, data = left.column("ids").to_pylist(), rows.unit(left.column("v").to_pylist())
-                names, asks = right.column("q").to_pylist(), rows.unit(right.column("qv").to_pylist())
-                for at in range(0, len(names), 256):
-                    scores = asks[at : at + 256] @ data.T
-                    out += [(q, i, s) for q, row in zip(names[at : at + 256], scores) for s, i in best_of(row, ids, top + 1)]
-            return pa.table({c: pa.array([r[k] for r in out], t) for k, (c, t) in enumerate((("q", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())))})
-
-        keys = ("leaf", "block", "side")
-        pairs = held.select(*keys, "ids", "v").groupBy(*keys).cogroup(asking.select(*keys, "q", "qv").groupBy(*keys))
-        found = pairs.applyInArrow(compare, "q long, vec_id long, score double")
-        order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-        found = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= top + 1)
-        found = scratch.stage(found.select("q", "vec_id", "score"), "found", keep=True)
+                    place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in leaves])
+                    yield pa.RecordBatch.from_pydict({
+                        "leaf": pa.array(np.concatenate(leaves)), "place": pa.array(place), "q": part.column("cls").take(take), "qv": part.column("v").take(take),
+                    })
+
+        walked = scratch.stage(searching.mapInArrow(walk, "leaf long, place int, q long, qv binary"), "visits")
+        # The floor is the least of the nearest in the first leaves; about the square root of all visits makes both rounds put out alike.
+        first = math.isqrt(visits)
+        early = walked.filter(F.col("place") < first).select("leaf", "q", "qv", F.lit(NO_FLOOR).alias("floor"))
+        found = scratch.stage(top_of(visited(index, early, rows, top + 1, scratch), top + 1), "early")
+        full = found.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(F.col("n") == top + 1)
+        late = walked.filter(F.col("place") >= first).join(full, "q", "left")
+        late = late.select("leaf", "q", "qv", F.coalesce(F.col("least") - SLACK, F.lit(NO_FLOOR)).alias("floor"))
+        found = top_of(found.unionByName(visited(index, late, rows, top + 1, scratch)), top + 1)
+        found = scratch.stage(found, "found", keep=True)
         own = asked.distinct().join(found, F.col("cls") == F.col("q")).filter("vec_id != query_id")
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
         return own.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -6,11 +6,13 @@ executor, and no shuffle is needed to assign them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,15 @@ from riskledger import constants as K
 from riskledger.operators.learners import Fitted, Scorer, fit_logistic
 
 FitFunction = Callable[[DataFrame], Any]
+#: Independent fits that are submitted at a time.
+THREADS = 5
+
+
+def side_by_side(jobs: Sequence[Callable[[], Any]], threads: int = THREADS) -> list[Any]:
+    """Results of independent fits, in order.  Each is submitted by a driver thread; Spark runs their tasks together."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(1, min(threads, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
 def with_fold(df: DataFrame, folds: int, key: str = K.KEY) -> DataFrame:
@@ -98,16 +109,17 @@ def calibrate_folds(df: DataFrame, fit: FitFunction | None = None, folds: int =
     """
     fit = fit or fit_logistic
     marked = with_fold(df, folds, key)
-    models, sigmoids = [], []
-    for fold in range(folds):
+
+    def one(fold: int) -> tuple[Any, Sigmoid]:
         model = fit(marked.filter(F.col("_fold") != fold).drop("_fold"))
         held = model.margin(marked.filter(F.col("_fold") == fold).drop("_fold")).persist()
         try:
-            sigmoids.append(fit_sigmoid(held))
+            return model, fit_sigmoid(held)
         finally:
             held.unpersist()
-        models.append(model)
-    return Calibrated(models, sigmoids)
+
+    pairs = side_by_side([partial(one, fold) for fold in range(folds)])
+    return Calibrated([m for m, _ in pairs], [s for _, s in pairs])
 
 
 # --- voting -------------------------------------------------------------------------------------
@@ -169,20 +181,15 @@ def fit_stacked(
     ``members`` may hand in models that were already fitted on all of ``df``.
     """
     marked = with_fold(df, folds, key)
-    held_out = []
-    for fold in range(folds):
+
+    def held_out(fold: int) -> DataFrame:
         rest = marked.filter(F.col("_fold") != fold).drop("_fold")
-        fitted = [fit(rest) for fit in fits]
-        held = marked.filter(F.col("_fold") == fold).drop("_fold")
-        held_out.append(_stack_inputs(held, fitted).drop("_original"))
-    level_one = reduce(DataFrame.unionByName, held_out).persist()
+        fitted = side_by_side([partial(fit, rest) for fit in fits])
+        return _stack_inputs(marked.filter(F.col("_fold") == fold).drop("_fold"), fitted).drop("_original")
+
+    level_one = reduce(DataFrame.unionByName, side_by_side([partial(held_out, fold) for fold in range(folds)])).persist()
     try:
         final = fit_logistic(level_one, c=1.0, class_weight=None)
     finally:
         level_one.unpersist()
-    return Stacked(list(members) if members else [fit(df) for fit in fits], final)
-
-
-def combine_scores(df: DataFrame, columns: Mapping[str, float], out: str = "prob") -> DataFrame:
-    """Weighted mean of existing probability columns."""
-    return df.withColumn(out, weighted_vote([F.col(c) for c in columns], list(columns.values())))
+    return Stacked(list(members) if members else side_by_side([partial(fit, df) for fit in fits]), final)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger import constants as K
-from riskledger.functions.features import add_interactions, take_split
+from riskledger.functions.features import take_split
 from riskledger.operators import ensembles as N
 from riskledger.operators import learners as L
 from riskledger.operators import metrics as M
@@ -74,9 +74,9 @@ def pp_scale(spark, folder) -> DataFrame:
 
 
 def pp_matrix(spark, folder) -> DataFrame:
-    """All 53 columns in order; the extended feature set adds two more in the experiments."""
+    """All 53 columns of all claims in order; the extended feature set adds two more in the experiments."""
     matrix, claims = _matrix(spark, folder)
-    return _coded(claims.filter(F.col(K.SPLIT) == "validation"), matrix, lambda n: True)
+    return _coded(claims, matrix, lambda n: True)
 
 
 def pp_refit_full(spark, folder) -> DataFrame:
@@ -88,7 +88,7 @@ def pp_refit_full(spark, folder) -> DataFrame:
 
 add("pp_onehot", pp_onehot, f"SELECT claim_id, {_levels_sql()} FROM feats")
 add("pp_scale", pp_scale, f"SELECT claim_id, {_SCALED} FROM feats CROSS JOIN {_TRAIN_STATS}")
-add("pp_matrix", pp_matrix, f"SELECT claim_id, {_levels_sql()}, {_SCALED} FROM feats CROSS JOIN {_TRAIN_STATS} WHERE split = 'validation'")
+add("pp_matrix", pp_matrix, f"SELECT claim_id, {_levels_sql()}, {_SCALED} FROM feats CROSS JOIN {_TRAIN_STATS}")
 _HISTORY_STATS = _scaled_sql("split <> 'current'")[1]
 add("pp_refit_full", pp_refit_full, f"SELECT claim_id, {_levels_sql()}, {_SCALED} FROM feats CROSS JOIN {_HISTORY_STATS} WHERE split = 'current'")
 
@@ -135,10 +135,10 @@ add("ml_calibrate_cv", _fitted(lambda t, v: N.calibrate_folds(t, lambda rows: L.
 add("ml_platt", _fitted(lambda t, v: N.calibrate_fitted(L.fit_logistic(t, 0.1), v)))
 add("ml_mlp", _fitted(lambda t, v: L.fit_network(t)))
 add("ml_svc_rbf", _fitted(lambda t, v: N.calibrate_folds(t, L.fit_kernel_machine, 3)))
-# The ensembles are registered with small members; P.suite() has the full sizes.
-_SMALL = P.Sizes(trees=10, rounds=5)
-add("ml_voting", _fitted(lambda t, v: P.voting(t, _SMALL)))
-add("ml_stacking", _fitted(lambda t, v: P.stacking(t, _SMALL)))
+add("ml_voting", _fitted(lambda t, v: P.voting(t)))
+# Stacking fits its boosted member six times and the suite more often: both are registered with small members.
+_SMALL = P.Sizes(trees=10, rounds=5, network_steps=50, folds=2)
+add("ml_stacking", _fitted(lambda t, v: P.stacking(t, P.Sizes(trees=10, rounds=5))))
 
 
 def ml_final_refit(spark, folder) -> DataFrame:
@@ -265,7 +265,7 @@ def ex_suite(spark, folder) -> DataFrame:
     checkpoints_on(spark)
     claims = _claims(spark, folder)
     path = fresh_path(spark, "suite")
-    runs, _ = P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, P.Sizes(trees=10, rounds=5, network_steps=50, folds=2))
+    runs, _ = P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, _SMALL)
     return _wide_suite(runs)
 
 
@@ -277,11 +277,11 @@ add("ex_suite", ex_suite)
 
 
 def sc_experiment_predictions(spark, folder) -> DataFrame:
-    """Current claims scored by the first experiment and stored under its run."""
+    """Current claims scored by every experiment, with small ensembles, and stored under its run."""
     checkpoints_on(spark)
     claims = _claims(spark, folder)
     path = fresh_path(spark, "suite")
-    P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, only=("exp1_lr_baseline",))
+    P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, _SMALL)
     return spark.read.parquet(f"{path}/predictions").select("experiment_name", K.KEY, "prob")
 
 

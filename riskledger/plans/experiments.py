@@ -6,7 +6,8 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
+from threading import Lock
 from typing import Any
 from uuid import uuid4
 
@@ -70,11 +71,14 @@ class Members:
 
     sizes: Sizes
     _held: dict[int, tuple] = field(default_factory=dict)
+    _lock: Lock = field(default_factory=Lock)
 
     def of(self, rows: DataFrame) -> tuple:
-        if id(rows) not in self._held:
-            self._held[id(rows)] = (rows, (_logistic(rows), _forest(self.sizes)(rows), _boosted(self.sizes)(rows)))
-        return self._held[id(rows)][1]
+        with self._lock:
+            if id(rows) not in self._held:
+                fits = (_logistic, _forest(self.sizes), _boosted(self.sizes))
+                self._held[id(rows)] = (rows, tuple(N.side_by_side([partial(fit, rows) for fit in fits])))
+            return self._held[id(rows)][1]
 
 
 def voting(rows: DataFrame, sizes: Sizes = FULL, members: Members | None = None) -> N.Voting:
@@ -155,40 +159,39 @@ def suite(
 ) -> tuple[DataFrame, list[str]]:
     """Run the experiments; a failing one is recorded and does not stop the others.
 
-    ``history`` and ``current`` hold features.  Run rows go to ``<path>/runs`` and the scores of the
-    current claims to ``<path>/predictions``.  Returns the run rows and the run ids.  The matrices are
-    written once and shared by all experiments of a feature set.
+    ``history`` and ``current`` hold features.  Run rows go to ``<path>/runs`` as each experiment ends and
+    the scores of the current claims to ``<path>/predictions``.  Returns the run rows and the run ids.  The
+    matrices are written once and shared by all experiments of a feature set; experiments run side by side.
     """
     spark = history.sparkSession
     plain = _inputs(history, current, K.MODEL_NUMERIC)
-    extended: Inputs | None = None
-    rows, ids = [], []
-    for name, (fit, params) in configurations(sizes).items():
-        if only is not None and name not in only:
-            continue
+    writing = Lock()  # appends to one folder share a staging folder, so one at a time
+
+    def one(name: str, fit: Callable[[DataFrame], Any], params: dict[str, Any]) -> tuple[DataFrame, str]:
         run_id, started = _new_run_id(), datetime.now(timezone.utc).isoformat()
-        ids.append(run_id)
         try:
             data = plain
             if name == "exp5_lr_interactions":
-                extended = extended or _inputs(
-                    add_interactions(history), add_interactions(current), [*K.MODEL_NUMERIC, *K.INTERACTIONS]
-                )
-                data = extended
+                data = _inputs(add_interactions(history), add_interactions(current), [*K.MODEL_NUMERIC, *K.INTERACTIONS])
             model = fit(data.train)
             figures = evaluate(model.score(data.validation), by=[]).first().asDict()
             metrics = {m: figures[m] for m in ("capture_at_25", "roc_auc", "pr_auc", "brier")}
             scored = model.score(data.current).select(
                 K.KEY, "prob", F.lit(name).alias("experiment_name"), F.lit(run_id).alias("run_id")
             )
-            stores.append_predictions(scored, f"{path}/predictions")
-            rows.append(run_row(
+            with writing:
+                stores.append_predictions(scored, f"{path}/predictions")
+            row = run_row(
                 spark, name, run_id, started, "FINISHED", params, metrics,
                 {"features": ",".join(data.names)}, f"{path}/predictions/experiment_name={name}/run_id={run_id}",
-            ))
+            )
         except Exception as error:  # noqa: BLE001 - recorded, the next experiment still runs
             log.warning("experiment %s failed: %s", name, error)
-            rows.append(run_row(spark, name, run_id, started, "FAILED", params, None, {"error": str(error)}))
-    runs = reduce(DataFrame.unionByName, rows)
-    stores.append_runs(runs, f"{path}/runs")
-    return runs, ids
+            row = run_row(spark, name, run_id, started, "FAILED", params, None, {"error": str(error)})
+        with writing:
+            stores.append_runs(row, f"{path}/runs")
+        return row, run_id
+
+    wanted = [(n, *how) for n, how in configurations(sizes).items() if only is None or n in only]
+    done = N.side_by_side([partial(one, *how) for how in wanted])
+    return reduce(DataFrame.unionByName, [row for row, _ in done]), [run_id for _, run_id in done]

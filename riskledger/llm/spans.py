@@ -1,7 +1,8 @@
 """Substring deduplication by sliding runs of sentences.
 
 A text is cut after sentence marks and at line breaks.  Every run of one to three consecutive sentences
-that is long enough (``MIN_WORDS`` for runs of one, two and three) is hashed on its lower-cased words.  Runs
+that is long enough (``MIN_WORDS`` for runs of one, two and three) is hashed on its lower-cased words, and where
+three sentences are too short, the shortest longer run that has as many words as a run of three needs.  Runs
 that occur more than once in all texts keep their first occurrence (by doc_id, text hash, position); sentences
 that any other occurrence covers are removed.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskledger.llm.shared import Prefixes, Scratch, pieces
 
-#: Least words of a run of one, two and three sentences.
+#: Least words of a run of one, two and three or more sentences.
 MIN_WORDS = (40, 24, 12)
 _CUT = re.compile(r"[.!?]+\s+|\n+")
 
@@ -51,6 +52,14 @@ def runs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         place.append(good)
         length.append(np.full(len(good), k))
         value.append(hashed.spans(start[good], end[good + k - 1]))
+    # One run more for a start whose three sentences are too short, whatever its number of sentences.
+    first = np.arange(max(len(words) - 3, 0))
+    first = first[count[first + 3] - count[first] < MIN_WORDS[2]]
+    stop = np.searchsorted(count, count[first] + MIN_WORDS[2])
+    first, stop = first[stop <= len(words)], stop[stop <= len(words)]
+    place.append(first)
+    length.append(stop - first)
+    value.append(hashed.spans(start[first], end[stop - 1]))
     return np.concatenate(place).astype(np.int32), np.concatenate(length).astype(np.int32), np.concatenate(value).view(np.int64)
 
 

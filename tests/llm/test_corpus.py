@@ -158,6 +158,30 @@ def test_repeated_passages_go(spark, odd, empty):
     assert spans.remove_repeats(empty).count() == 0
 
 
+def windows(text, size=50):
+    w = text.lower().split()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+
+
+def test_passages_of_short_sentences_go(spark):
+    """No window of 50 words is left in two documents, whatever the length of its sentences up to ten words."""
+    r = random.Random(5)
+    passages = [[1] * 169, [1] * 60, [2] * 40, [3] * 30, [r.randint(1, 3) for _ in range(60)], [r.randint(1, 10) for _ in range(30)]]
+    texts = []
+    for k, lengths in enumerate(passages):
+        each = iter(words(500 + k, sum(lengths), 10**6).split())
+        mark = ("!! ", "\n", "? ")[k % 3]
+        passage = mark.join(" ".join(next(each) for _ in range(n)) for n in lengths) + mark
+        texts += [(10 * k + j, f"{words(600 + 10 * k + j, 40)}\n{passage}{words(700 + 10 * k + j, 40)}") for j in range(3)]
+    got = {x["doc_id"]: x for x in spans.remove_repeats(spark.createDataFrame(rows_of(texts), ROW)).collect()}
+    seen = collections.Counter(w for x in got.values() for w in windows(x["text"]))
+    assert max(seen.values()) == 1
+    everything = {w for x in got.values() for w in x["text"].lower().split()}
+    for i, text in texts:
+        assert set(text.lower().split()) <= everything  # each removed sentence stays once
+        assert i % 10 or got[i]["text"] == text
+
+
 def test_sentences_round_trip():
     for text in (words(1, 50), "a\n\n\nb!!  c", "", "no end", "x. ", "\n"):
         assert "".join(spans.sentences(text)) == text

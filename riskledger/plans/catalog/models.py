@@ -136,9 +136,7 @@ add("ml_platt", _fitted(lambda t, v: N.calibrate_fitted(L.fit_logistic(t, 0.1),
 add("ml_mlp", _fitted(lambda t, v: L.fit_network(t)))
 add("ml_svc_rbf", _fitted(lambda t, v: N.calibrate_folds(t, L.fit_kernel_machine, 3)))
 add("ml_voting", _fitted(lambda t, v: P.voting(t)))
-# Stacking fits its boosted member six times and the suite more often: both are registered with small members.
-_SMALL = P.Sizes(trees=10, rounds=5, network_steps=50, folds=2)
-add("ml_stacking", _fitted(lambda t, v: P.stacking(t, P.Sizes(trees=10, rounds=5))))
+add("ml_stacking", _fitted(lambda t, v: P.stacking(t)))
 
 
 def ml_final_refit(spark, folder) -> DataFrame:
@@ -261,11 +259,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY experiment_name ORDER BY run_id
 
 
 def ex_suite(spark, folder) -> DataFrame:
-    """The ten named experiments with small ensembles: their run rows."""
+    """The ten named experiments at full size: their run rows."""
     checkpoints_on(spark)
     claims = _claims(spark, folder)
     path = fresh_path(spark, "suite")
-    runs, _ = P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, _SMALL)
+    runs, _ = P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path)
     return _wide_suite(runs)
 
 
@@ -277,11 +275,11 @@ add("ex_suite", ex_suite)
 
 
 def sc_experiment_predictions(spark, folder) -> DataFrame:
-    """Current claims scored by every experiment, with small ensembles, and stored under its run."""
+    """Current claims scored by every experiment and stored under its run."""
     checkpoints_on(spark)
     claims = _claims(spark, folder)
     path = fresh_path(spark, "suite")
-    P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path, _SMALL)
+    P.suite(claims.filter(F.col(K.SPLIT) != "current"), claims.filter(F.col(K.SPLIT) == "current"), path)
     return spark.read.parquet(f"{path}/predictions").select("experiment_name", K.KEY, "prob")
 
 

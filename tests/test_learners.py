@@ -1,8 +1,12 @@
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from riskledger import constants as K
 from riskledger.operators import ensembles as N
 from riskledger.operators import learners as L
 from riskledger.operators.matrix import fit_matrix
@@ -117,3 +121,30 @@ def test_matrix(spark):
     later = spark.createDataFrame([("3", "new", None, 5.0, 6.0)], rows.schema)
     got = matrix.transform(rows.union(later)).orderBy("claim_id").collect()
     assert [r.features.toArray().tolist() for r in got] == [[0, 1, 1, -1, 0], [1, 0, 1, 1, 0], [0, 0, 0, 3, 1]]
+
+
+def test_registered_experiments_have_full_size(spark, sample, monkeypatch):
+    """The suite, its predictions and stacking hand on the published sizes."""
+    from riskledger.plans.catalog import models
+
+    class Ended(Exception):
+        pass
+
+    used = []
+
+    def recorder(real):
+        def run(*args, **named):
+            bound = inspect.signature(real).bind(*args, **named)
+            bound.apply_defaults()
+            used.append(bound.arguments["sizes"])
+            raise Ended
+        return run
+
+    monkeypatch.setattr(P, "suite", recorder(P.suite))
+    monkeypatch.setattr(P, "stacking", recorder(P.stacking))
+    monkeypatch.setattr(models, "_claims", lambda *_: sample[0].withColumn(K.SPLIT, F.lit("train")))
+    monkeypatch.setattr(models, "_sides", lambda *_: (sample[0], sample[0]))
+    for name in ("ex_suite", "sc_experiment_predictions", "ml_stacking"):
+        with pytest.raises(Ended):
+            entry.queries()[name](spark, "")
+    assert used == [P.Sizes(200, 200, None, 500, 5)] * 3

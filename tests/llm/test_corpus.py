@@ -226,6 +226,32 @@ def test_lm_scores(spark, docs, odd, empty):
     assert lm.lm_scores(empty, fold == 2, fold != 2).count() == 0
 
 
+def test_words_and_pairs_have_cells_of_their_own():
+    """Distinct words have distinct hashes, and a corpus has more cells than features, at any size."""
+    names = [str(i).encode() for i in range(100_000)]
+    hashes = lm.token_hashes(names)
+    assert len(set(hashes.tolist())) == len(names)
+    for tokens in (0, 10**5, 10**7, 10**10):
+        assert 1 << lm.cell_bits(tokens) > lm.FEATURES * tokens
+    # 100,000 tokens, no word twice: nearly every feature stands alone
+    cells, _ = lm.features([hashes.tobytes()], lm.cell_bits(len(names)), np.uint64)
+    assert len(np.unique(cells)) > 0.65 * cells.size
+
+
+def test_mean_weights_of_a_cell():
+    """The mean of each cell over all learners, however the sorted rows are cut into batches."""
+    r = np.random.default_rng(4)
+    cell, n = np.sort(r.integers(0, 40, 300)), r.integers(1, 9, 300).astype(float)
+    w = r.normal(size=(300, lm.CLASSES)).astype(np.float32)
+    whole = lm.pa.RecordBatch.from_pydict({"cell": lm.pa.array(cell), "w": lm.weight_rows(w), "n": lm.pa.array(n)})
+    for cut in (1, 7, 300):
+        got = list(lm.average(whole.slice(at, cut) for at in range(0, 300, cut)))
+        names = np.concatenate([np.asarray(b.column("cell")) for b in got])
+        assert names.tolist() == sorted(set(cell.tolist()))
+        means = np.concatenate([lm.weight_matrix(b.column("w")) for b in got])
+        assert np.allclose(means, [np.average(w[cell == c], axis=0, weights=n[cell == c]) for c in names], atol=1e-5)
+
+
 def test_class_shares_add_up():
     weights = np.random.default_rng(2).normal(size=(lm.CELLS, lm.CLASSES)).astype(np.float32)
     cells, owner = lm.features([np.arange(5, dtype=np.uint16).tobytes(), b"", np.arange(3, dtype=np.uint16).tobytes()])

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CLAIM_COLUMNS, THREE_CLAIMS
+from claim_rows import CLAIM_COLUMNS, THREE_CLAIMS
 from riskledger.functions.features import add_features, add_interactions, model_inputs
 from riskledger.sources.claims import as_typed, read_raw, read_typed
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskledger.llm import decontam, language, lm, mixing, neardup, neighbours, quality, shards, spans, tokens
+from riskledger.llm import decontam, hardneg, language, lm, mixing, neardup, neighbours, periodic, quality, shards, spans, tokens, toxicity
 from riskledger.llm.shared import fold_remainder, read_table
 from riskledger.workspace import fresh_path
 
@@ -66,12 +66,34 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), every=50)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document, by the hash of its id, is made periodic first."""
+    key = F.crc32(F.col("doc_id").cast("string"))
+    planted = F.when(key % 10 == 0, F.floor(key / 10))
+    return periodic.periodic_runs(documents(spark, sf_dir), [F.col("doc_id").cast("long").alias("doc_id")], planted)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fold = fold_remainder("doc_id", 4)
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold != 2)
+    return toxicity.predict(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold == 2, F.lit(False)).alias("held_out")])
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(read_table(spark, sf_dir, "embeddings"), 100, label)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language, op2_token_counts, op3_sentence_spans, op4_mixing, op5_lm_scores, op6_near_duplicates, op7_quality,
-        op8_decontamination, op9_shards, op10_neighbours,
+        op8_decontamination, op9_shards, op10_neighbours, op11_periodic_runs, op12_toxicity, op13_hard_negatives,
     )
 }
 
-ORACLE_SQL = {"op4_mixing": mixing.ORACLE.format(docs="documents")}
+ORACLE_SQL = {
+    "op4_mixing": mixing.ORACLE.format(docs="documents"),
+    "op13_hard_negatives": hardneg.ORACLE.format(vectors="embeddings"),
+}

@@ -1,7 +1,8 @@
 """Calibration, voting and stacking: models built from other models' scores.
 
-Folds are fixed by a hash of the claim id: the same row is in the same fold on every run and on every
-executor, and no shuffle is needed to assign them.
+Rows of each class are numbered in the order of the md5 of their id, and a row's fold is its number modulo the folds:
+class counts of two folds differ by one at most, and the same row is in the same fold on every run.  Scores of held-out
+rows are written as soon as a fold's model is fitted, and the model is let go.
 """
 
 from __future__ import annotations
@@ -10,20 +11,35 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
+from threading import BoundedSemaphore
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskledger import constants as K
 from riskledger.operators.learners import Fitted, Scorer, fit_logistic
+from riskledger.operators.ordering import global_rank
+from riskledger.workspace import compact, fresh_path
 
 FitFunction = Callable[[DataFrame], Any]
-#: Independent fits that are submitted at a time.
-THREADS = 5
+#: Independent jobs that one caller submits at a time, and fits of large tree models in flight in the whole process:
+#: their nodes are kept by the driver.
+THREADS = 8
+_LARGE = BoundedSemaphore(3)
+
+
+def one_of_few(fit: FitFunction) -> FitFunction:
+    """``fit``, waiting while other fits of large models are in flight."""
+
+    def run(rows: DataFrame) -> Any:
+        with _LARGE:
+            return fit(rows)
+
+    return run
 
 
 def side_by_side(jobs: Sequence[Callable[[], Any]], threads: int = THREADS) -> list[Any]:
@@ -33,8 +49,10 @@ def side_by_side(jobs: Sequence[Callable[[], Any]], threads: int = THREADS) -> l
         return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]
 
 
-def with_fold(df: DataFrame, folds: int, key: str = K.KEY) -> DataFrame:
-    return df.withColumn("_fold", F.pmod(F.xxhash64(F.col(key)), F.lit(folds)).cast("int"))
+def with_fold(df: DataFrame, folds: int, key: str = K.KEY, label: str = "label") -> DataFrame:
+    """Adds ``_fold``, from exact numbers within each class; the rows are written once, in the order of the numbers."""
+    placed = global_rank(df, [F.md5(F.col(key).cast("string")), F.col(key)], within=[label], rank="_place")
+    return placed.withColumn("_fold", F.pmod(F.col("_place") - 1, F.lit(folds)).cast("int")).drop("_place")
 
 
 # --- sigmoid calibration ------------------------------------------------------------------------
@@ -77,24 +95,10 @@ class Calibrated:
     def score(self, df: DataFrame, out: str = "prob") -> DataFrame:
         wide = df
         for i, model in enumerate(self.models):
-            wide = model.margin(wide, f"_m{i}")
-        parts = [s.of(F.col(f"_m{i}")) for i, s in enumerate(self.sigmoids)]
+            wide = model.margin(wide, f"{out}_m{i}")  # named after ``out``, as members may be composed themselves
+        parts = [s.of(F.col(f"{out}_m{i}")) for i, s in enumerate(self.sigmoids)]
         mean = reduce(lambda a, b: a + b, parts) / F.lit(float(len(parts)))
-        return wide.withColumn(out, mean).drop(*[f"_m{i}" for i in range(len(parts))])
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        """Logistic members as Spark ML folders; the sigmoids as a table with one row per member."""
-        for i, member in enumerate(self.models):
-            member.model.write().overwrite().save(f"{path}/member-{i}")
-        rows = [(i, s.slope, s.offset) for i, s in enumerate(self.sigmoids)]
-        table = spark.createDataFrame(rows, "member int, slope double, offset double")
-        table.write.mode("overwrite").parquet(f"{path}/sigmoids")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> Calibrated:
-        rows = spark.read.parquet(f"{path}/sigmoids").orderBy("member").collect()
-        members = [Fitted(LogisticRegressionModel.load(f"{path}/member-{r.member}")) for r in rows]
-        return Calibrated(members, [Sigmoid(r.slope, r.offset) for r in rows])
+        return wide.withColumn(out, mean).drop(*[f"{out}_m{i}" for i in range(len(parts))])
 
 
 def calibrate_fitted(model: Any, validation: DataFrame) -> Calibrated:
@@ -108,7 +112,7 @@ def calibrate_folds(df: DataFrame, fit: FitFunction | None = None, folds: int =
     ``df`` should be persisted: it is read once per fold and optimiser step.
     """
     fit = fit or fit_logistic
-    marked = with_fold(df, folds, key)
+    marked = compact(with_fold(df, folds, key))
 
     def one(fold: int) -> tuple[Any, Sigmoid]:
         model = fit(marked.filter(F.col("_fold") != fold).drop("_fold"))
@@ -139,9 +143,9 @@ class Voting:
     def score(self, df: DataFrame, out: str = "prob") -> DataFrame:
         wide = df
         for i, member in enumerate(self.members):
-            wide = member.score(wide, f"_v{i}")
-        vote = weighted_vote([F.col(f"_v{i}") for i in range(len(self.members))], self.weights)
-        return wide.withColumn(out, vote).drop(*[f"_v{i}" for i in range(len(self.members))])
+            wide = member.score(wide, f"{out}_v{i}")
+        names = [f"{out}_v{i}" for i in range(len(self.members))]
+        return wide.withColumn(out, weighted_vote([F.col(n) for n in names], self.weights)).drop(*names)
 
 
 # --- stacking -----------------------------------------------------------------------------------
@@ -155,18 +159,13 @@ class Stacked:
 
     def score(self, df: DataFrame, out: str = "prob") -> DataFrame:
         have = [c for c in df.columns if c != out]
-        return self.final.score(_stack_inputs(df, self.members), out).select(
-            *[F.col("_original").alias(c) if c == "features" else F.col(c) for c in have], out
-        )
-
-
-def _stack_inputs(df: DataFrame, members: Sequence[Scorer]) -> DataFrame:
-    wide = df
-    for i, member in enumerate(members):
-        wide = member.score(wide, f"_s{i}")
-    names = [f"_s{i}" for i in range(len(members))]
-    wide = wide.withColumnRenamed("features", "_original")
-    return VectorAssembler(inputCols=[*names, "_original"], outputCol="features").transform(wide).drop(*names)
+        names, original = [f"{out}_s{i}" for i in range(len(self.members))], f"{out}_original"
+        wide = df
+        for name, member in zip(names, self.members):
+            wide = member.score(wide, name)
+        wide = wide.withColumnRenamed("features", original)
+        wide = VectorAssembler(inputCols=[*names, original], outputCol="features").transform(wide).drop(*names)
+        return self.final.score(wide, out).select(*[F.col(original).alias(c) if c == "features" else F.col(c) for c in have], out)
 
 
 def fit_stacked(
@@ -174,22 +173,31 @@ def fit_stacked(
     fits: Sequence[FitFunction],
     folds: int = 5,
     key: str = K.KEY,
-    members: Sequence[Scorer] | None = None,
+    members: Callable[[], Sequence[Scorer]] | None = None,
 ) -> Stacked:
     """Out-of-fold member probabilities train the final model; members are then fitted on all rows.
 
-    ``members`` may hand in models that were already fitted on all of ``df``.
+    Every pair of a fold and a member is a job of its own: it writes its held-out probabilities and lets its model go,
+    so the driver holds the models in flight only.  ``members`` may hand in models that are fitted on all of ``df``.
     """
-    marked = with_fold(df, folds, key)
-
-    def held_out(fold: int) -> DataFrame:
-        rest = marked.filter(F.col("_fold") != fold).drop("_fold")
-        fitted = side_by_side([partial(fit, rest) for fit in fits])
-        return _stack_inputs(marked.filter(F.col("_fold") == fold).drop("_fold"), fitted).drop("_original")
-
-    level_one = reduce(DataFrame.unionByName, side_by_side([partial(held_out, fold) for fold in range(folds)])).persist()
+    spark = df.sparkSession
+    marked = compact(with_fold(df, folds, key))
+    path = fresh_path(spark, "held-out")
+
+    def held_out(fold: int, member: int) -> None:
+        fitted = fits[member](marked.filter(F.col("_fold") != fold).drop("_fold"))
+        scored = fitted.score(marked.filter(F.col("_fold") == fold).drop("_fold"), "prob")
+        scored.select(key, "prob").write.parquet(f"{path}/fold={fold}/member={member}")
+
+    side_by_side([partial(held_out, fold, member) for member in reversed(range(len(fits))) for fold in range(folds)])
+    names = [f"_s{i}" for i in range(len(fits))]
+    wide = spark.read.parquet(path).groupBy(key).agg(*[
+        F.max(F.when(F.col("member") == i, F.col("prob"))).alias(name) for i, name in enumerate(names)
+    ])
+    rows = marked.drop("_fold").withColumnRenamed("features", "_original").join(wide, key)
+    level_one = VectorAssembler(inputCols=[*names, "_original"], outputCol="features").transform(rows).select(key, "label", "features").persist()
     try:
         final = fit_logistic(level_one, c=1.0, class_weight=None)
     finally:
         level_one.unpersist()
-    return Stacked(list(members) if members else side_by_side([partial(fit, df) for fit in fits]), final)
+    return Stacked(list(members()) if members else side_by_side([partial(fit, df) for fit in fits]), final)

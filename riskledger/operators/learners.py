@@ -12,9 +12,7 @@ from typing import Any, Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark import SparkContext
 from pyspark.ml.classification import (
-    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -180,23 +178,12 @@ def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The boosted model made of the first trees only."""
-    context = SparkContext._active_spark_context
-    java = context._jvm.org.apache.spark.ml
-    trees = context._gateway.new_array(java.regression.DecisionTreeRegressionModel, rounds)
-    weights = context._gateway.new_array(context._jvm.double, rounds)
-    for i in range(rounds):
-        trees[i] = model._java_obj.trees()[i]
-        weights[i] = model.treeWeights[i]
-    return GBTClassificationModel(java.classification.GBTClassificationModel(model.uid, trees, weights))
-
-
 def fit_boosted_early(df: DataFrame, validation: DataFrame, rounds: int = 300, patience: int = 30, start: int = 75, **options) -> Fitted:
     """Boosting that keeps the rounds up to the lowest validation loss.
 
     It looks for a stretch of ``patience`` rounds without improvement, first among ``start`` rounds
-    and then among twice as many, so a model that stops early does not pay for all ``rounds``.
+    and then among twice as many, so a model that stops early does not pay for all ``rounds``.  Rounds are seeded one
+    by one, so a fit of fewer rounds has the same trees: the kept rounds are fitted by themselves.
     """
     size = min(start, rounds)
     watched = validation.withColumn("weight", F.lit(1.0))
@@ -204,7 +191,7 @@ def fit_boosted_early(df: DataFrame, validation: DataFrame, rounds: int = 300, p
         fitted = fit_boosted(df, rounds=size, **options)
         kept, stopped = best_round(fitted.model.evaluateEachIteration(watched), patience)
         if stopped or size >= rounds:
-            return Fitted(first_rounds(fitted.model, kept))
+            return fitted if kept == size else fit_boosted(df, rounds=kept, **options)
         size = min(rounds, 2 * size)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,49 @@ RUN_SCHEMA = T.StructType([
     T.StructField("artifact_uri", _text),
 ])
 
+#: One step in the life of a run; maps and the address are null where the step does not tell them.
+EVENT_SCHEMA = T.StructType([*RUN_SCHEMA.fields, T.StructField("at", T.LongType())])
+STATES = ("RUNNING", "FINISHED", "FAILED")
+
+
+def event(
+    spark: SparkSession,
+    experiment: str,
+    run_id: str,
+    timestamp: str,
+    status: str,
+    at: int,
+    params: Mapping[str, Any] | None = None,
+    metrics: Mapping[str, float] | None = None,
+    tags: Mapping[str, str] | None = None,
+    artifact_uri: str | None = None,
+) -> DataFrame:
+    """One event as a one-row frame; ``at`` orders the events of a run (a clock in microseconds)."""
+    if status not in STATES:
+        raise ValueError(f"status {status} is none of {', '.join(STATES)}")
+    texts = [None if m is None else {k: str(v) for k, v in m.items()} for m in (params, tags)]
+    numbers = None if metrics is None else {k: float(v) for k, v in metrics.items()}
+    return spark.createDataFrame([(run_id, experiment, timestamp, status, texts[0], numbers, texts[1], artifact_uri, at)], EVENT_SCHEMA)
+
+
+def current_state(events: DataFrame) -> DataFrame:
+    """Run rows as their events left them: a run whose driver was lost stays RUNNING.
+
+    A run starts anew with each RUNNING event, and what earlier attempts told is forgotten.  Within an attempt the last
+    event gives the status (an end wins over a start at the same time), and every other field keeps its last known value.
+    Events that were written twice count once.
+    """
+    run = ["experiment_name", "run_id"]
+    order = F.struct("at", F.col("status") != "RUNNING")
+    begun = F.max(F.when(F.col("status") == "RUNNING", F.col("at"))).over(Window.partitionBy(*run))
+    attempt = events.withColumn("_begun", begun).filter(F.col("_begun").isNull() | (F.col("at") >= F.col("_begun")))
+    known = {c: F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in ("params", "metrics", "tags", "artifact_uri")}
+    state = attempt.groupBy(*run).agg(F.min("timestamp").alias("timestamp"), F.max_by("status", order).alias("status"), *known.values())
+    empty = {"params": "map<string,string>", "metrics": "map<string,double>", "tags": "map<string,string>"}
+    return state.select(*[
+        F.coalesce(F.col(c), F.create_map().cast(empty[c])).alias(c) if c in empty else F.col(c) for c in RUN_SCHEMA.names
+    ])
+
 
 def run_row(
     spark: SparkSession,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
@@ -18,7 +20,8 @@ from riskledger.plans import experiments as P
 from riskledger.plans.catalog.base import LEVELS, add, features, model_scores, quoted
 from riskledger.plans.review import labelled, metrics_document, score_current, train
 from riskledger.sources import stores
-from riskledger.workspace import checkpoints_on, fresh_path, stage_table
+from riskledger.sources.models import read_model, write_model
+from riskledger.workspace import checkpoints_on, compact, fresh_path, stage_table
 
 # --- model matrix -------------------------------------------------------------------------------
 
@@ -99,7 +102,7 @@ add("pp_refit_full", pp_refit_full, f"SELECT claim_id, {_levels_sql()}, {_SCALED
 def _sides(spark, folder) -> tuple[DataFrame, DataFrame]:
     checkpoints_on(spark)
     matrix, claims = _matrix(spark, folder)
-    return tuple(stage_table(labelled(take_split(claims, s), matrix), s) for s in ("train", "validation"))
+    return tuple(compact(stage_table(labelled(take_split(claims, s), matrix), s)) for s in ("train", "validation"))
 
 
 def _fitted(fit):
@@ -167,6 +170,51 @@ def io_write_model(spark, folder) -> DataFrame:
 
 add("io_write_model", io_write_model)
 
+
+def io_write_model_kinds(spark, folder) -> DataFrame:
+    """Every kind of model written, read back and applied to current claims: rows, and rows whose score changed."""
+    matrix, claims = _matrix(spark, folder)
+    rows = compact(stage_table(labelled(take_split(claims, "train"), matrix), "train"))
+    plain, strong = L.fit_logistic(rows, 0.1), L.fit_logistic(rows, 10.0)
+    calibrated = N.calibrate_folds(rows, lambda part: L.fit_logistic(part, 0.1), 3)
+    models = {
+        "chance": L.fit_chance(rows),
+        "logistic": plain,
+        "calibrated": calibrated,
+        "kernel": N.calibrate_fitted(L.fit_kernel_machine(rows), rows),
+        "forest": L.fit_forest(rows, trees=20),
+        "boosted": L.fit_boosted(rows, rounds=5),
+        "voting": N.Voting([plain, N.Voting([strong, calibrated], [1, 1])], [2, 1]),
+        "stacked": N.fit_stacked(rows, [lambda part: L.fit_logistic(part, 0.1), L.fit_chance], 3),
+    }
+    path = fresh_path(spark, "models")
+    write_model(spark, matrix, f"{path}/matrix")
+    again = read_model(spark, f"{path}/matrix")
+    current = claims.filter(F.col(K.SPLIT) == "current")
+    before, after = (stage_table(m.transform(current).select(K.KEY, "features"), "current") for m in (matrix, again))
+    pairs = []
+    for kind, model in models.items():
+        write_model(spark, model, f"{path}/{kind}")
+        loaded = read_model(spark, f"{path}/{kind}")
+        pair = model.score(before, "a").select(K.KEY, "a").join(loaded.score(after, "b").select(K.KEY, "b"), K.KEY)
+        pairs.append(pair.select(F.lit(kind).alias("kind"), (F.abs(F.col("a") - F.col("b")) > 1e-9).alias("changed")))
+    return reduce(DataFrame.unionByName, pairs).groupBy("kind").agg(F.count("*").alias("n"), F.count_if("changed").alias("n_changed"))
+
+
+add("io_write_model_kinds", io_write_model_kinds, """
+SELECT kind, n, 0 AS n_changed FROM (SELECT count(*) AS n FROM feats WHERE split = 'current') AS c
+CROSS JOIN (SELECT unnest(['chance', 'logistic', 'calibrated', 'kernel', 'forest', 'boosted', 'voting', 'stacked']) AS kind) AS k""")
+
+
+def ml_folds(spark, folder) -> DataFrame:
+    """The five folds of the labelled claims: each claim's fold."""
+    claims = features(spark, folder).filter(F.col(K.TARGET).isNotNull())
+    return N.with_fold(claims.select(K.KEY, F.col(K.TARGET).alias("label")), 5).withColumnRenamed("_fold", "fold")
+
+
+add("ml_folds", ml_folds, """SELECT claim_id, is_denied AS label,
+  (row_number() OVER (PARTITION BY is_denied ORDER BY md5(claim_id), claim_id) - 1) % 5 AS fold FROM feats WHERE is_denied IS NOT NULL""")
+
 # --- experiment runs ----------------------------------------------------------------------------
 # Three simple models, each evaluated on the validation and on the test claims, give six runs.
 
@@ -229,7 +277,43 @@ def io_read_runs(spark, folder) -> DataFrame:
 
 
 add("io_read_runs", io_read_runs, _WIDE_SQL)
-add("ex_log_run", lambda spark, folder: _wide(_runs(spark, folder)), _WIDE_SQL)
+
+
+def _logged(spark, path: str, runs: DataFrame, status: str, at: int) -> None:
+    """Events of all ``runs``: a start tells the parameters, an end the figures, a failure its error."""
+    nothing = {"params": "map<string,string>", "metrics": "map<string,double>", "tags": "map<string,string>", "artifact_uri": "string"}
+    told = {"RUNNING": ("params",), "FINISHED": ("metrics", "tags", "artifact_uri"), "FAILED": ("tags",)}[status]
+    fields = [F.col(c) if c in told else F.lit(None).cast(k).alias(c) for c, k in nothing.items()]
+    stores.append_events(runs.select("run_id", "experiment_name", "timestamp", F.lit(status).alias("status"), *fields, F.lit(at).cast("long").alias("at")), path)
+
+
+def ex_log_run(spark, folder) -> DataFrame:
+    """All runs start, then all end: their state as the events tell it."""
+    runs, path = stage_table(_runs(spark, folder), "runs"), fresh_path(spark, "events")
+    _logged(spark, path, runs, "RUNNING", 1)
+    _logged(spark, path, runs, "FINISHED", 2)
+    return _wide(stores.read_states(spark, path))
+
+
+add("ex_log_run", ex_log_run, _WIDE_SQL)
+
+
+def ex_run_states(spark, folder) -> DataFrame:
+    """Runs in every state: of the delay model one fails and one ends in its second attempt, those of the gap model start again and do not end."""
+    runs, path = stage_table(_runs(spark, folder), "runs"), fresh_path(spark, "events")
+    name, split = F.col("experiment_name"), F.col("params")["split"]
+    again = (name == "exp_gaps") | ((name == "exp_delay") & (split == "test"))
+    _logged(spark, path, runs, "RUNNING", 1)
+    _logged(spark, path, runs.filter(name != "exp_delay"), "FINISHED", 2)
+    _logged(spark, path, runs.filter(name == "exp_delay"), "FAILED", 3)
+    _logged(spark, path, runs.filter(again), "RUNNING", 4)
+    _logged(spark, path, runs.filter(again & (name == "exp_delay")), "FINISHED", 5)
+    return _wide(stores.read_states(spark, path))
+
+
+_STATE = """CASE WHEN experiment_name = 'exp_gaps' THEN 'RUNNING' WHEN experiment_name = 'exp_delay' AND split = 'validation' THEN 'FAILED' ELSE 'FINISHED' END"""
+add("ex_run_states", ex_run_states, f"""SELECT experiment_name, run_id, split, {_STATE} AS status,
+  {", ".join(f"CASE WHEN {_STATE} = 'FINISHED' THEN {m} END AS {m}" for m in _METRICS)} FROM ({_RUNS_SQL}) AS r""")
 
 
 def ex_list(spark, folder) -> DataFrame:

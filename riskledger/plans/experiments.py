@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial, reduce
@@ -18,12 +20,13 @@ from riskledger import constants as K
 from riskledger.functions.features import add_interactions, take_split
 from riskledger.operators import ensembles as N
 from riskledger.operators import learners as L
-from riskledger.operators.matrix import fit_matrix
+from riskledger.operators.matrix import Matrix, fit_matrix
 from riskledger.operators.metrics import evaluate
-from riskledger.operators.runs import run_row
+from riskledger.operators.runs import event, run_row
 from riskledger.plans.review import labelled
 from riskledger.sources import stores
-from riskledger.workspace import stage_table
+from riskledger.sources.models import write_model
+from riskledger.workspace import compact, stage_table
 
 log = logging.getLogger(__name__)
 
@@ -58,7 +61,7 @@ def _logistic(rows: DataFrame) -> L.Fitted:
 
 
 def _forest(sizes: Sizes) -> Callable[[DataFrame], L.Fitted]:
-    return lambda rows: L.fit_forest(rows, trees=sizes.trees, min_leaf=1)
+    return N.one_of_few(lambda rows: L.fit_forest(rows, trees=sizes.trees, min_leaf=1))
 
 
 def _boosted(sizes: Sizes) -> Callable[[DataFrame], L.Fitted]:
@@ -67,18 +70,34 @@ def _boosted(sizes: Sizes) -> Callable[[DataFrame], L.Fitted]:
 
 @dataclass
 class Members:
-    """The three base models of both ensembles, fitted once per training set and shared."""
+    """The three base models of both ensembles, each fitted once per training set and shared.
+
+    A model is fitted by who asks for it first, with no lock on the others; those who ask later wait for it.
+    """
 
     sizes: Sizes
-    _held: dict[int, tuple] = field(default_factory=dict)
+    _held: dict[tuple[str, int], tuple[DataFrame, Future]] = field(default_factory=dict)
     _lock: Lock = field(default_factory=Lock)
 
-    def of(self, rows: DataFrame) -> tuple:
+    def fits(self) -> dict[str, Callable[[DataFrame], L.Fitted]]:
+        return {"logistic": _logistic, "forest": _forest(self.sizes), "boosted": _boosted(self.sizes)}
+
+    def one(self, name: str, rows: DataFrame) -> L.Fitted:
         with self._lock:
-            if id(rows) not in self._held:
-                fits = (_logistic, _forest(self.sizes), _boosted(self.sizes))
-                self._held[id(rows)] = (rows, tuple(N.side_by_side([partial(fit, rows) for fit in fits])))
-            return self._held[id(rows)][1]
+            first = (name, id(rows)) not in self._held
+            if first:
+                self._held[name, id(rows)] = (rows, Future())
+            future = self._held[name, id(rows)][1]
+        if first:
+            try:
+                future.set_result(self.fits()[name](rows))
+            except BaseException as error:
+                future.set_exception(error)
+                raise
+        return future.result()
+
+    def of(self, rows: DataFrame) -> tuple[L.Fitted, ...]:
+        return tuple(N.side_by_side([partial(self.one, name, rows) for name in self.fits()]))
 
 
 def voting(rows: DataFrame, sizes: Sizes = FULL, members: Members | None = None) -> N.Voting:
@@ -86,8 +105,8 @@ def voting(rows: DataFrame, sizes: Sizes = FULL, members: Members | None = None)
 
 
 def stacking(rows: DataFrame, sizes: Sizes = FULL, members: Members | None = None) -> N.Stacked:
-    fits = (_logistic, _forest(sizes), _boosted(sizes))
-    return N.fit_stacked(rows, fits, sizes.folds, members=(members or Members(sizes)).of(rows))
+    shared = members or Members(sizes)
+    return N.fit_stacked(rows, list(shared.fits().values()), sizes.folds, members=lambda: shared.of(rows))
 
 
 def configurations(sizes: Sizes = FULL) -> dict[str, tuple[Callable[[DataFrame], Any], dict[str, Any]]]:
@@ -95,7 +114,7 @@ def configurations(sizes: Sizes = FULL) -> dict[str, tuple[Callable[[DataFrame],
     shared = Members(sizes)
     # Experiment names and recorded parameters.
     return {
-        "exp1_lr_baseline": (_logistic, {"C": 0.1, "class_weight": "balanced", "type": "LR"}),
+        "exp1_lr_baseline": (lambda rows: shared.one("logistic", rows), {"C": 0.1, "class_weight": "balanced", "type": "LR"}),
         "exp2_lr_calibrated": (
             lambda rows: N.calibrate_folds(rows, _logistic, sizes.folds),
             {"C": 0.1, "calibration": "sigmoid", "type": "LR-Calib"},
@@ -104,7 +123,7 @@ def configurations(sizes: Sizes = FULL) -> dict[str, tuple[Callable[[DataFrame],
             lambda rows: L.fit_boosted(rows, rounds=sizes.early_rounds, depth=6, row_share=1.0, positive_weight=3.6),
             {"max_depth": 6, "lr": 0.05, "scale_pos_weight": 3.6, "type": "XGB"},
         ),
-        "exp4_rf_robust": (_forest(sizes), {"n_estimators": sizes.trees, "max_depth": 12, "type": "RF"}),
+        "exp4_rf_robust": (lambda rows: shared.one("forest", rows), {"n_estimators": sizes.trees, "max_depth": 12, "type": "RF"}),
         "exp5_lr_interactions": (_logistic, {"C": 0.1, "feature_set": "interactions", "type": "LR"}),
         "exp6_gradient_boosting": (
             lambda rows: L.fit_boosted(rows, rounds=sizes.rounds, min_leaf=20),
@@ -140,14 +159,14 @@ class Inputs:
     train: DataFrame
     validation: DataFrame
     current: DataFrame
-    names: list[str]
+    matrix: Matrix
 
 
 def _inputs(history: DataFrame, current: DataFrame, numbers: Sequence[str]) -> Inputs:
     matrix = fit_matrix(take_split(history, "train"), numbers=numbers)
-    sides = [stage_table(labelled(take_split(history, s), matrix), s) for s in ("train", "validation")]
+    sides = [compact(stage_table(labelled(take_split(history, s), matrix), s)) for s in ("train", "validation")]
     rows = stage_table(matrix.transform(current).select(K.KEY, "features"), "current")
-    return Inputs(*sides, rows, matrix.names)
+    return Inputs(*sides, rows, matrix)
 
 
 def suite(
@@ -159,8 +178,10 @@ def suite(
 ) -> tuple[DataFrame, list[str]]:
     """Run the experiments; a failing one is recorded and does not stop the others.
 
-    ``history`` and ``current`` hold features.  Run rows go to ``<path>/runs`` as each experiment ends and
-    the scores of the current claims to ``<path>/predictions``.  Returns the run rows and the run ids.  The
+    ``history`` and ``current`` hold features.  A RUNNING event goes to ``<path>/events`` as an experiment starts and
+    a FINISHED or FAILED one as it ends, so a lost driver leaves its runs RUNNING.  Run rows go to ``<path>/runs``,
+    models with their matrix to ``<path>/models`` and the scores of the current claims to ``<path>/predictions``, each
+    as soon as it is there; then the model is let go.  Returns the run rows and the run ids.  The
     matrices are written once and shared by all experiments of a feature set; experiments run side by side.
     """
     spark = history.sparkSession
@@ -169,11 +190,20 @@ def suite(
 
     def one(name: str, fit: Callable[[DataFrame], Any], params: dict[str, Any]) -> tuple[DataFrame, str]:
         run_id, started = _new_run_id(), datetime.now(timezone.utc).isoformat()
+
+        def tell(status: str, **known: Any) -> None:
+            step = event(spark, name, run_id, started, status, time.time_ns() // 1000, **known)
+            with writing:
+                stores.append_events(step, f"{path}/events")
+
+        tell("RUNNING", params=params)
         try:
             data = plain
             if name == "exp5_lr_interactions":
                 data = _inputs(add_interactions(history), add_interactions(current), [*K.MODEL_NUMERIC, *K.INTERACTIONS])
             model = fit(data.train)
+            write_model(spark, data.matrix, f"{path}/models/{run_id}/matrix")
+            write_model(spark, model, f"{path}/models/{run_id}/model")
             figures = evaluate(model.score(data.validation), by=[]).first().asDict()
             metrics = {m: figures[m] for m in ("capture_at_25", "roc_auc", "pr_auc", "brier")}
             scored = model.score(data.current).select(
@@ -181,13 +211,13 @@ def suite(
             )
             with writing:
                 stores.append_predictions(scored, f"{path}/predictions")
-            row = run_row(
-                spark, name, run_id, started, "FINISHED", params, metrics,
-                {"features": ",".join(data.names)}, f"{path}/predictions/experiment_name={name}/run_id={run_id}",
-            )
+            tags, place = {"features": ",".join(data.matrix.names)}, f"{path}/models/{run_id}"
+            row = run_row(spark, name, run_id, started, "FINISHED", params, metrics, tags, place)
+            tell("FINISHED", metrics=metrics, tags=tags, artifact_uri=place)
         except Exception as error:  # noqa: BLE001 - recorded, the next experiment still runs
             log.warning("experiment %s failed: %s", name, error)
             row = run_row(spark, name, run_id, started, "FAILED", params, None, {"error": str(error)})
+            tell("FAILED", tags={"error": str(error)})
         with writing:
             stores.append_runs(row, f"{path}/runs")
         return row, run_id

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from riskledger import constants as K
 from riskledger.operators.audit import RECORD_SCHEMA, run_summary
-from riskledger.operators.runs import RUN_SCHEMA
+from riskledger.operators.runs import EVENT_SCHEMA, RUN_SCHEMA, current_state
 
 AUDIT_FILE_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -56,6 +56,17 @@ def append_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").partitionBy("experiment_name").parquet(path)
 
 
+def append_events(events: DataFrame, path: str) -> None:
+    """Events are only ever added: a reader sees a run from its first event on."""
+    events.write.mode("append").partitionBy("experiment_name").parquet(path)
+
+
+def read_states(spark: SparkSession, path: str) -> DataFrame:
+    """The runs of a table of events, each in its latest state."""
+    schema = T.StructType([*[f for f in EVENT_SCHEMA.fields if f.name != "experiment_name"], EVENT_SCHEMA["experiment_name"]])
+    return current_state(spark.read.schema(schema).parquet(path))
+
+
 def append_predictions(predictions: DataFrame, path: str) -> None:
     """(experiment_name, run_id, claim_id, prob), partitioned so that one run is one folder."""
     predictions.write.mode("append").partitionBy("experiment_name", "run_id").parquet(path)

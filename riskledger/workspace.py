@@ -67,3 +67,11 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
 
 def partition_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def compact(df: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """A written table in no more partitions than its rows call for.
+
+    Iterative learners run some thousand jobs over their rows; every task of every job costs a fixed share.
+    """
+    return df.coalesce(max(1, -(-df.count() // rows_per_task)))

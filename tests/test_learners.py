@@ -12,6 +12,7 @@ from riskledger.operators import learners as L
 from riskledger.operators.matrix import fit_matrix
 from riskledger.operators.metrics import score_summary
 from riskledger.plans import experiments as P
+from riskledger.sources.models import read_model, write_model
 
 
 @pytest.fixture(scope="module")
@@ -64,8 +65,8 @@ def test_calibration_keeps_order_and_improves_brier(sample, spark, tmp_path):
     folded = N.calibrate_folds(frame, lambda rows: L.fit_logistic(rows, 1.0), 3)
     assert len(folded.models) == 3
     assert score_summary(folded.score(frame), by=[]).first().brier <= before.brier
-    folded.save(spark, str(tmp_path / "cal"))
-    again = N.Calibrated.load(spark, str(tmp_path / "cal"))
+    write_model(spark, folded, str(tmp_path / "cal"))
+    again = read_model(spark, str(tmp_path / "cal"))
     pair = folded.score(frame, "a").join(again.score(frame, "b").select("claim_id", "b"), "claim_id")
     assert pair.filter("abs(a - b) > 1e-12").count() == 0
 
@@ -123,6 +124,36 @@ def test_matrix(spark):
     assert [r.features.toArray().tolist() for r in got] == [[0, 1, 1, -1, 0], [1, 0, 1, 1, 0], [0, 0, 0, 3, 1]]
 
 
+def test_folds_are_exact_within_classes(spark, sample):
+    frame, _, y = sample
+    got = N.with_fold(frame.select("claim_id", "label"), 7).groupBy("label", "_fold").count().collect()
+    for label in (0, 1):
+        sizes = [r["count"] for r in got if r["label"] == label]
+        assert len(sizes) == 7 and max(sizes) - min(sizes) <= 1 and sum(sizes) == (y == label).sum()
+
+
+def test_cut_boosting_has_the_first_trees(sample):
+    frame, _, _ = sample
+    long, short = (L.fit_boosted(frame, rounds=n).model for n in (6, 4))
+    assert [t.toDebugString.split("\n", 1)[1] for t in long.trees[:4]] == [t.toDebugString.split("\n", 1)[1] for t in short.trees]
+
+
+def test_composed_models_are_read_back(spark, sample, tmp_path):
+    frame, _, _ = sample
+    plain = L.fit_logistic(frame)
+    inner = N.Voting([plain, L.fit_chance(frame)], [1, 3])
+    stacked = N.fit_stacked(frame, [L.fit_logistic, L.fit_chance], 2)
+    whole = N.Voting([inner, stacked, N.calibrate_folds(frame, L.fit_logistic, 2)], [1, 2, 1])
+    write_model(spark, whole, str(tmp_path / "whole"))
+    again = read_model(spark, str(tmp_path / "whole"))
+    pair = whole.score(frame, "a").join(again.score(frame, "b").select("claim_id", "b"), "claim_id")
+    assert pair.filter("abs(a - b) > 1e-12").count() == 0 and pair.columns == ["claim_id", "label", "features", "a", "b"]
+    with pytest.raises(TypeError):
+        write_model(spark, object(), str(tmp_path / "other"))
+    with pytest.raises(Exception):
+        write_model(spark, plain, str(tmp_path / "whole"))  # a folder is never written over
+
+
 def test_registered_experiments_have_full_size(spark, sample, monkeypatch):
     """The suite, its predictions and stacking hand on the published sizes."""
     from riskledger.plans.catalog import models

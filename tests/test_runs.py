@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from riskledger.operators import runs as R
 from riskledger.sources import stores
 
@@ -44,3 +46,31 @@ def test_run_documents(spark, tmp_path):
         (target / "run_metadata.json").write_text(json.dumps(document, indent=2))
     got = {(r.experiment_name, r.run_id, r.metrics["roc_auc"], r.params["C"]) for r in stores.read_run_documents(spark, str(tmp_path)).collect()}
     assert got == {("e1", "r1", 0.7, "0.1"), ("e2", "r2", 0.7, "0.1")}
+
+
+def test_states_of_runs(spark, tmp_path):
+    """A dead driver leaves RUNNING, an attempt forgets the one before it, and repeated events count once."""
+    from riskledger.sources import stores
+
+    path = str(tmp_path / "events")
+
+    def tell(run, status, at, **known):
+        stores.append_events(R.event(spark, "e", run, "t", status, at, **known), path)
+
+    tell("dead", "RUNNING", 1, params={"C": 1})
+    tell("done", "RUNNING", 1, params={"C": 2})
+    tell("done", "FINISHED", 5, metrics={"auc": 0.5}, artifact_uri="there")
+    tell("done", "FINISHED", 5, metrics={"auc": 0.5}, artifact_uri="there")
+    tell("broken", "RUNNING", 2, params={"C": 3})
+    tell("broken", "FAILED", 2, tags={"error": "x"})
+    tell("again", "RUNNING", 1, params={"C": 4})
+    tell("again", "FINISHED", 2, metrics={"auc": 0.9})
+    tell("again", "RUNNING", 3)
+    tell("late", "FINISHED", 4, metrics={"auc": 0.1})  # its start was not written
+    got = {r["run_id"]: r for r in stores.read_states(spark, path).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {"dead": "RUNNING", "done": "FINISHED", "broken": "FAILED", "again": "RUNNING", "late": "FINISHED"}
+    assert got["done"]["params"] == {"C": "2"} and got["done"]["metrics"] == {"auc": 0.5} and got["done"]["artifact_uri"] == "there"
+    assert got["broken"]["tags"] == {"error": "x"} and got["broken"]["params"] == {"C": "3"}
+    assert got["again"]["metrics"] == {} and got["again"]["params"] == {} and got["dead"]["tags"] == {}
+    with pytest.raises(ValueError):
+        R.event(spark, "e", "r", "t", "DONE", 1)

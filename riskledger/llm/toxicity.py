@@ -24,7 +24,7 @@ from riskledger.llm.shared import Prefixes, Scratch, pieces
 
 PREFIXES = (4, 5, 6, 7, 8)
 #: Bounds of the fitted sample: positive texts, committee members, unlabelled texts of each member.
-POSITIVES, MEMBERS, UNLABELLED = 4096, 4, 4096
+POSITIVES, MEMBERS, UNLABELLED = 4096, 4, 2048
 #: Class prior where the labels cannot tell (no text is marked as not toxic).
 PRIOR = 0.1
 #: Features of a member at most, and what each needs: positive texts that it is in, a contrast in standard errors, and
@@ -203,7 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, prior: float | Non
         prior = float(np.clip(prior, 1e-4, 0.9))
 
         def threshold(column: Column, wanted: int, of: int) -> Column:
-            return F.pmod(column, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.5 * wanted / max(of, 1)))
+            return F.pmod(column, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * wanted / max(of, 1)))
 
         ids = known.filter("toxic").filter(threshold(F.xxhash64("doc_id", F.lit(5)), POSITIVES, positives)).select(F.col("doc_id").alias("_toxic"))
         ids = ids.orderBy(F.xxhash64("_toxic", F.lit(5)), "_toxic").limit(POSITIVES)  # few enough to broadcast
@@ -225,12 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, prior: float | Non
                     yield pa.RecordBatch.from_pydict({"sides": part.column("sides"), "h": part.column("h"), "sketch": sketches, "cells": pa.array(found, pa.binary())})
 
         sampled = chosen.mapInArrow(cells, "sides array<int>, h long, sketch long, cells binary")
-        sampled = sampled.select(F.explode("sides").alias("side"), "h", "sketch", "cells")
-        copy = F.row_number().over(Window.partitionBy("side", "sketch").orderBy("h", "cells"))
-        sampled = sampled.withColumn("copy", copy).filter(F.col("copy") == 1)
-        place = F.row_number().over(Window.partitionBy("side").orderBy("h", "cells"))
+        sampled = sampled.select(F.explode("sides").alias("side"), "h", "sketch", "cells").withColumn("row", F.monotonically_increasing_id())
+        sampled = scratch.stage(sampled, "sample")
+        # Which rows stay is found without their features.
+        copy = F.row_number().over(Window.partitionBy("side", "sketch").orderBy("h", "row"))
+        place = F.row_number().over(Window.partitionBy("side").orderBy("h", "row"))
         bound = F.when(F.col("side") < 0, POSITIVES).otherwise(UNLABELLED)
-        sampled = scratch.stage(sampled.withColumn("place", place).filter(F.col("place") <= bound).drop("place", "copy", "sketch"), "sample")
+        kept = sampled.select("side", "sketch", "h", "row").withColumn("copy", copy).filter(F.col("copy") == 1)
+        kept = kept.withColumn("place", place).filter(F.col("place") <= bound).select("row")  # few enough to broadcast
+        sampled = sampled.join(F.broadcast(kept), "row", "left_semi")
         # Every member meets all positives and its own unlabelled texts.
         side = F.when(F.col("side") < 0, F.sequence(F.lit(0), F.lit(MEMBERS - 1))).otherwise(F.array("side"))
         meeting = sampled.select(F.explode(side).alias("member"), (F.col("side") < 0).alias("toxic"), "h", "cells")

@@ -54,6 +54,15 @@ class Scratch:
             self.passing.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Deletes tables that no later step reads, before the operator ends."""
+        starts = tuple(f"{self.label}-{name}-" for name in names)
+        gone = [path for path in self.passing if path.rsplit("/", 1)[1].startswith(starts)]
+        self.passing = [path for path in self.passing if path not in gone]
+        for path in gone:
+            store, place = file_system(self.spark, path)
+            store.delete(place, True)
+
     def __exit__(self, *error) -> None:
         for path in self.passing:
             store, place = file_system(self.spark, path)

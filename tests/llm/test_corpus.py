@@ -212,8 +212,100 @@ def test_words_and_pairs_have_cells_of_their_own():
     for tokens in (0, 10**5, 10**7, 10**10):
         assert 1 << lm.cell_bits(tokens) > lm.FEATURES * tokens
     # 100,000 tokens, no word twice: nearly every feature stands alone
-    cells, _ = lm.features([hashes.tobytes()], lm.cell_bits(len(names)), np.uint64)
+    row = {"ids": lm.planes(np.arange(len(names))), "n_tokens": [len(names)], "train": [True], "cells": hashes.tobytes(), "classes": bytes(len(names))}
+    block = lm.Block.of(row)
+    cells = block.features(slice(None), lm.cell_bits(len(names)))
     assert len(np.unique(cells)) > 0.65 * cells.size
+    assert len(lm.distinct_cells(block, lm.cell_bits(len(names)))) == len(np.unique(cells))
+
+
+def test_numbers_of_words_have_32_bits():
+    numbers = np.array([0, 1, 255, 256, 1 << 24, (1 << 24) + 5, (1 << 31) + 7, (1 << 32) - 1])
+    assert lm.from_planes(lm.planes(numbers)).tolist() == numbers.tolist()
+
+
+def test_small_weights_are_close():
+    w = np.random.default_rng(1).normal(size=(500, lm.CLASSES)).astype(np.float32) * np.geomspace(1e-6, 1e3, 500)[:, None].astype(np.float32)
+    w[3] = 0
+    got = lm.weight_matrix(lm.weight_rows(w))
+    assert (np.abs(got - w) <= np.abs(w).max(axis=1, keepdims=True) / 250 + 1e-12).all() and (got[3] == 0).all()
+
+
+def brute_model(rows):
+    """Scores of (doc_id, train, text) by a dense model with a row of weights for every feature, features being tuples."""
+    texts = [(i, t, x.lower().encode().split() + [lm.END]) for i, t, x in rows]
+    count = collections.Counter(w for _, t, x in texts if t for w in x)
+    total, kinds = sum(count.values()), len(count)
+    hashed = dict(zip(count, lm.token_hashes(list(count)).view(np.int64).tolist()))
+    order = sorted(count, key=lambda w: (-count[w], hashed[w]))
+    heads, tail = order[: lm.HEADS], order[lm.HEADS :]
+    edges, mass, whole = [], 0, sum(count[w] for w in tail)
+    for n in sorted({count[w] for w in tail}):
+        mass += sum(count[w] for w in tail if count[w] == n)
+        if len(edges) < lm.BANDS - 1 and mass >= whole * (len(edges) + 1) / lm.BANDS:
+            edges.append(n)
+
+    def kind(w):
+        if w in heads:
+            return heads.index(w)
+        return lm.HEADS + 2 * sum(count[w] > e for e in edges) + (not w.isascii()) if count[w] else lm.HEADS
+
+    share = np.zeros(lm.CLASSES)
+    for w in count:
+        share[kind(w)] += count[w] + 1
+    share[lm.HEADS] += 1
+    bias = np.where(share > 0, np.log(np.maximum(share, 1e-300) / share.sum()), -60)
+
+    def features(x, i):
+        one, two, three = (x[i - k] if i >= k else None for k in (1, 2, 3))
+        return [("one", one), ("two", two), ("pair", one, two), ("three", three)]
+
+    seen = [(features(x, i), kind(x[i])) for _, t, x in texts if t for i in range(len(x))]
+    met = collections.Counter(f for fs, _ in seen for f in fs)
+    weight = {f: np.zeros(lm.CLASSES) for f in met if met[f] >= lm.MET}
+    square = {f: 1e-2 for f in weight}
+
+    def softmax(fs):
+        z = bias + sum((weight[f] for f in fs if f in weight), np.zeros(lm.CLASSES))
+        z = np.exp(z - z.max())
+        return z / z.sum()
+
+    for at in range(0, len(seen), lm.STEP_TOKENS):
+        pull = collections.defaultdict(lambda: np.zeros(lm.CLASSES))
+        for fs, k in seen[at : at + lm.STEP_TOKENS]:
+            error = softmax(fs)
+            error[k] -= 1
+            for f in fs:
+                if f in weight:
+                    pull[f] += error
+        for f, g in pull.items():
+            square[f] += (g * g).mean()
+            weight[f] -= lm.RATE * g / np.sqrt(square[f])
+    for f, w in weight.items():  # kept as whole 127ths of the largest
+        weight[f] = np.rint(w / (np.abs(w).max() / 127)) * (np.abs(w).max() / 127)
+    return {
+        i: sum(math.log10(softmax(features(x, k))[kind(x[k])]) + math.log10((count[x[k]] + 1) / share[kind(x[k])]) for k in range(len(x)))
+        for i, _, x in texts
+    }
+
+
+def test_scores_equal_a_dense_model(spark):
+    r = random.Random(8)
+    vocabulary = words(9, 60, 10**6).split() + ["été", "über"]
+    texts = []
+    for i in range(60):
+        at, out = r.randrange(62), []
+        for _ in range(r.randint(0, 80)):
+            at = (at + r.choice([1, 1, 1, 5, r.randrange(62)])) % 62
+            out.append(vocabulary[min(at, r.randrange(62))])
+        texts.append((i, i % 5 != 0, " ".join(out)))
+    frame = spark.createDataFrame(texts, "doc_id long, train boolean, text string").coalesce(1)
+    got = {x["doc_id"]: x["score"] for x in lm.lm_scores(frame, ~F.col("train"), F.col("train")).collect()}
+    want = brute_model(texts)
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 2e-3 * (1 + abs(want[i])) for i in want)
+    base = lm.lm_scores(frame, ~F.col("train"), F.col("train")).agg(F.sum("base_score")).first()[0]
+    assert sum(want.values()) > base + 50  # the histories tell something here
 
 
 def test_mean_weights_of_a_cell():
@@ -227,14 +319,18 @@ def test_mean_weights_of_a_cell():
         names = np.concatenate([np.asarray(b.column("cell")) for b in got])
         assert names.tolist() == sorted(set(cell.tolist()))
         means = np.concatenate([lm.weight_matrix(b.column("w")) for b in got])
-        assert np.allclose(means, [np.average(w[cell == c], axis=0, weights=n[cell == c]) for c in names], atol=1e-5)
+        assert np.allclose(means, [np.average(w[cell == c], axis=0, weights=n[cell == c]) for c in names], atol=0.05)
 
 
 def test_class_shares_add_up():
+    hashes = lm.token_hashes([b"a", b"b", b"c", b"d"])
+    row = {"ids": lm.planes(np.array([0, 1, 2, 3, 0, 0, 1, 2])), "n_tokens": [5, 3], "train": [True, False], "cells": hashes.tobytes(), "classes": bytes(4)}
+    block = lm.Block.of(row)
+    cells = block.features(slice(None), 14)
+    assert block.owner.tolist() == [0] * 5 + [1] * 3 and cells[0].tolist() == cells[5].tolist() and (cells[1:3] == cells[6:8]).all()
     weights = np.random.default_rng(2).normal(size=(lm.CELLS, lm.CLASSES)).astype(np.float32)
-    cells, owner = lm.features([np.arange(5, dtype=np.uint16).tobytes(), b"", np.arange(3, dtype=np.uint16).tobytes()])
-    assert owner.tolist() == [0] * 5 + [2] * 3 and cells[0].tolist() == cells[5].tolist()
     assert np.allclose(np.exp(lm.log_softmax(weights, np.zeros(lm.CLASSES, np.float32), cells)).sum(axis=1), 1, atol=1e-5)
+    assert len(lm.Block.of(row, only_training=True).places) == 5
 
 
 def test_quality(spark, docs, odd, empty):

@@ -24,7 +24,6 @@ ORDERS = (1, 2, 3)
 #: Bounds of the fitted sample, shared out evenly over the languages.
 LANDMARKS = 128
 TRAINING_ROWS = 8192
-_STEP = 1 << 19
 _PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _letters: np.ndarray | None = None
 
@@ -37,19 +36,14 @@ def letter_table() -> np.ndarray:
 
 
 def presence(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """One 0/1 row of ``BUCKETS`` cells per text, and whether it has a letter.  Long texts are read in steps."""
+    """One 0/1 row of ``BUCKETS`` cells per text, and whether it has a letter.  A long text is read whole."""
     cells = np.zeros((len(texts), BUCKETS), np.uint8)
     lettered = np.zeros(len(texts), np.bool_)
-    owners, parts = [], []
-    for i, text in enumerate(texts):
-        low = f" {text.lower()} " if text else ""
-        for at in range(0, len(low), _STEP):
-            owners.append(i)
-            parts.append(low[at : at + _STEP + max(ORDERS) - 1])
-    if not parts:
+    parts = [f" {text.lower()} " if text else "" for text in texts]
+    if not any(parts):
         return cells, lettered
     codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.array(owners, np.int32), [len(p) for p in parts])
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
     letter = letter_table()[codes]
     lettered[owner[letter]] = True
     keep = letter.copy()
@@ -106,12 +100,12 @@ def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Reco
 
 
 def bounded_sample(rows: DataFrame, group: str, key: str, per_group: int, counts: dict, seed: int) -> DataFrame:
-    """At most ``per_group`` rows of every group, those with the smallest hashes of ``key``.
+    """At most ``per_group`` rows of every group, those with the smallest hashes of ``key`` and text.
 
     A hash threshold from the group sizes leaves about twice the wanted rows, so the exact cut sorts
     a bounded number of rows.
     """
-    order = F.xxhash64(F.col(key), F.lit(seed))
+    order = F.xxhash64(F.col(key), F.col("text"), F.lit(seed))  # the text parts rows that share a key
     place = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
     wanted = F.create_map(*[F.lit(x) for name, n in sorted(counts.items()) for x in (name, min(1.0, 2.0 * per_group / n))])
     few = rows.filter(place < wanted[F.col(group)])

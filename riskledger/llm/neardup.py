@@ -152,13 +152,13 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def profiles(texts: DataFrame) -> DataFrame:
-    """node, signature and the shingle hashes cut to 32 bits; equal shingles stay equal, so no similarity gets smaller."""
+    """node, signature and the shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = [shingles(t) for t in as_bytes(part.column("text"))]
-                items = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in sets]
+                items = [x.tobytes() for x in sets]
                 yield pa.RecordBatch.from_pydict({
                     "node": part.column("doc_id"), "signature": pa.array([signature(x).tobytes() for x in sets], pa.binary()), "items": pa.array(items, pa.binary()),
                 })
@@ -212,7 +212,7 @@ def cross_pairs(members: DataFrame, comp: DataFrame, known: DataFrame) -> DataFr
 
     def run(table: pa.Table) -> pa.Table:
         node, comp = (np.asarray(table.column(c)) for c in ("node", "comp"))
-        items = [np.frombuffer(x, np.uint32) for x in table.column("items").to_pylist()]
+        items = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
         pairs = linked_in_group(node, comp, _signs(table.column("signature")), items)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
@@ -268,10 +268,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component, with all columns; rows without a doc_id stay."""
-    gone = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
-    stay = rows.join(gone, F.col("id") == F.col("_gone"), "left_anti")
-    # Rows that share a doc_id are one document: the one with the smallest hash of its text stays.
-    one = stay.filter("id IS NOT NULL").groupBy("id").agg(F.min_by("row", "h").alias("row")).select("row.*")
-    return one.unionByName(stay.filter("id IS NULL").select("row.*"))
+    """One row of ``docs`` for each component, with all columns: that of the smallest doc_id, then hash of the text.
+
+    Here every text is a document of its own, named by a hash of its id and text: rows that share an id and have unlike
+    texts are not linked.  Rows equal in id and text are one; rows without a doc_id stay as they are.  Null texts, empty
+    ones and texts without words have no links.  An empty table stays empty; all columns of ``docs`` are kept, whatever
+    their names.
+    """
+    named = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("\x00null"))))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), named.alias("name"), "text")
+    found = near_duplicates(rows.filter("name IS NOT NULL").select(F.col("name").alias("doc_id"), "text"))
+    ids = rows.filter("name IS NOT NULL").select("id", F.col("name").alias("doc_id"))
+    first = F.struct("id", F.col("doc_id").alias("name"))
+    stays = found.select("doc_id", "component_id").join(ids, "doc_id").groupBy("component_id").agg(F.min(first).alias("first"))
+    stay = rows.filter("name IS NOT NULL").join(stays.select(F.col("first.name").alias("name")), "name", "left_semi")
+    # Rows equal in id and text share a name; any one of them stands for all.
+    hashable = [F.col("row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    one = stay.groupBy("name").agg(F.min_by("row", F.xxhash64(*hashable)).alias("row")).select("row.*")
+    return one.unionByName(rows.filter("name IS NULL").select("row.*"))

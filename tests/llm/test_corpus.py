@@ -54,7 +54,18 @@ def test_near_duplicates_equal_brute_force(spark, odd, empty):
     kept = neardup.without_near_duplicates(rows)
     assert kept.columns == rows.columns
     ids = [x["doc_id"] for x in kept.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(set(expected.values())) and ids.count(None) == 2
+    # Rows that share an id are texts of their own here: id 9 has two unlike ones.
+    assert sorted(i for i in ids if i is not None) == sorted([*set(expected.values()), 9]) and ids.count(None) == 2
+
+
+def test_unlike_texts_of_one_id_stay(spark):
+    """Unlike texts are never linked by an id that they share, and each group of copies keeps one row."""
+    a, b = words(50, 80), words(51, 80)
+    rows = spark.createDataFrame(rows_of([(1, a), (1, b), (2, b), (3, a), (4, None), (4, ""), (4, ""), (5, a)]), ROW)
+    kept = neardup.without_near_duplicates(rows)
+    assert kept.columns == rows.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (4, None), (4, "")], key=str)
 
 
 def test_close_signatures_share_a_key():
@@ -216,7 +227,21 @@ def test_words_and_pairs_have_cells_of_their_own():
     block = lm.Block.of(row)
     cells = block.features(slice(None), lm.cell_bits(len(names)))
     assert len(np.unique(cells)) > 0.65 * cells.size
-    assert len(lm.distinct_cells(block, lm.cell_bits(len(names)))) == len(np.unique(cells))
+    every = np.full(1 << (lm.FILTER_BITS - 3), 255, np.uint8)
+    assert (lm.asked_cells(block, lm.cell_bits(len(names)), every) == np.unique(cells)).all()
+    for least in (1, 3):
+        found, counts = np.unique(cells, return_counts=True)
+        assert (lm.frequent_cells(block, lm.cell_bits(len(names)), least) == found[counts >= least]).all()
+
+
+def test_places_of_cells():
+    r = np.random.default_rng(3)
+    for n, top in ((0, 50), (1, 50), (40, 50), (3000, 4000), (5000, 1 << 40)):
+        names = np.unique(r.integers(0, top, n))
+        cells = np.concatenate((r.integers(0, top, 900), names)).reshape(-1, 1)
+        got = lm.Places(names).of(cells)
+        index = {int(x): i for i, x in enumerate(names)}
+        assert got.ravel().tolist() == [index.get(int(x), len(names)) for x in cells.ravel()]
 
 
 def test_numbers_of_words_have_32_bits():
@@ -289,7 +314,8 @@ def brute_model(rows):
     }
 
 
-def test_scores_equal_a_dense_model(spark):
+def test_scores_equal_a_dense_model(spark, monkeypatch):
+    monkeypatch.setattr(lm, "cell_bits", lambda tokens: 40)  # so many cells that no two features share one
     r = random.Random(8)
     vocabulary = words(9, 60, 10**6).split() + ["été", "über"]
     texts = []
@@ -458,3 +484,27 @@ def test_pipeline_stages(spark, docs):
             assert after.join(docs, "doc_id", "left_anti").count() == 0
     last = corpus_pipeline.run(spark, DATA)
     assert last.count() > 0 and last.columns == [*docs.columns, "shard", "slot"]
+
+
+def test_kernel_of_a_long_text_equals_sets():
+    """The kernel counts the n-grams that both texts hold, also in texts longer than any buffer."""
+    texts = [" ".join(words(60 + k, n)) for k, n in enumerate((40, 3, 60_000))] + ["Été, l'été!", None, "12 _"]
+
+    def grams(text):
+        low = f" {text.lower()} "
+        runs, out = [], ""
+        for c in low:
+            if c.isalpha():
+                out += c
+            elif not out.endswith(" "):
+                out += " "
+        runs = out
+        return {runs[i : i + n] for n in language.ORDERS for i in range(len(runs) - n + 1)}
+
+    cells, lettered = language.presence(texts)
+    assert lettered.tolist() == [True] * 4 + [False] * 2 and not cells[4:].any()
+    for text, row in zip(texts[:4], cells):
+        found = grams(text)
+        assert len(found) - 0.02 * len(found) ** 2 / language.BUCKETS * 50 <= row.sum() <= len(found)  # some n-grams share a cell
+    again, _ = language.presence(texts[2:3])
+    assert (again[0] == cells[2]).all()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -132,17 +132,21 @@ def score_current(current: DataFrame, trained: Trained) -> DataFrame:
 
 def metrics_document(trained: Trained, high_rows: int, completion_model: str) -> dict:
     """The published figures of one production run."""
-    m = trained.metrics
+    return figures_document(trained.metrics, trained.best_c, trained.threshold, high_rows, completion_model)
+
+
+def figures_document(m: Mapping, best_c: float, threshold: float, high_rows: int, completion_model: str) -> dict:
+    """The published figures from those of the test claims and of the calibration."""
     return {
         "model": "Calibrated LR",
-        "best_C": trained.best_c,
+        "best_C": best_c,
         "test_roc_auc": m["roc_auc"],
         "test_pr_auc": m["pr_auc"],
         "test_brier": m["brier"],
         "test_capture_at_25": m["capture_at_25"],
         "test_precision_at_25": m["precision_at_25"],
         "test_f1": m["f1"],
-        "val_threshold": trained.threshold,
+        "val_threshold": threshold,
         "brier_pre_calibration": round(m["brier_before"], 4),
         "brier_post_calibration": round(m["brier_after"], 4),
         "high_tier_count": high_rows,

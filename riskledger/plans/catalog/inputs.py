@@ -12,7 +12,7 @@ from riskledger.operators.explain import explain
 from riskledger.plans.catalog.base import SCORECARD, add, claims_from_orders, current_claims, features, history_claims, quoted, tiered
 from riskledger.plans.review import publish
 from riskledger.sources import claims as R
-from riskledger.workspace import fresh_path
+from riskledger.workspace import fresh_path, stage_table
 
 # --- claim files --------------------------------------------------------------------------------
 
@@ -83,6 +83,41 @@ add("dq_binary_target", _inputs("binary_target"), _rule_sql(
 add("dq_payment_le_billed", _inputs("payment_le_billed"), _rule_sql(
     ("payment_le_billed", "count(*) FILTER (expected_payment > total_billed)", _HIST)))
 
+
+
+def _ends(digit: int):
+    return F.col(K.KEY).endswith(str(digit))
+
+
+def dq_faulty_inputs(spark, folder) -> DataFrame:
+    """All input rules on claims made faulty: the last digit of a claim's id tells its fault."""
+    history, current = history_claims(spark, folder), current_claims(spark, folder)
+    faulty = history.withColumns({
+        K.SPLIT: F.when(_ends(3), F.lit("holdout")).otherwise(F.col(K.SPLIT)),
+        K.TARGET: F.when(_ends(5), F.lit(2)).otherwise(F.col(K.TARGET)),
+        "expected_payment": F.when(_ends(7), F.col("total_billed") + 1).otherwise(F.col("expected_payment")),
+    }).drop(K.REASON)
+    shared = history.filter(_ends(9)).select(*current.columns)
+    return C.check_inputs(faulty.union(faulty.filter(_ends(1))), current.union(current.filter(_ends(0))).union(shared))
+
+
+def _ending(digit: int, where: str) -> str:
+    return f"count(*) FILTER (claim_id LIKE '%{digit}' AND {where})"
+
+
+_ALL, _H, _C = "FROM labelled", "split <> 'current'", "split = 'current'"
+add("dq_faulty_inputs", dq_faulty_inputs, _rule_sql(
+    ("history_row_count", f"abs(count(*) FILTER ({_H}) + {_ending(1, _H)} - 3200)", _ALL),
+    ("current_row_count", f"abs(count(*) FILTER ({_C}) + {_ending(0, _C)} + {_ending(9, _H)} - 500)", _ALL),
+    ("history_unique_key", _ending(1, _H), _ALL),
+    ("current_unique_key", _ending(0, _C), _ALL),
+    ("split_domain", _ending(3, _H), _ALL),
+    ("binary_target", _ending(5, _H), _ALL),
+    ("payment_le_billed", _ending(7, _H), _ALL),
+    ("key_overlap", _ending(9, _H), _ALL),
+    ("history_required_columns", "1", ""),
+    ("current_required_columns", "0", "")))
+
 # --- output rules -------------------------------------------------------------------------------
 
 
@@ -117,6 +152,36 @@ add("dq_out_top10_text", _outputs("out_preview_text"), _rule_sql(
 add("dq_out_all_text", lambda spark, folder: C.shortest_text_per_tier(_published(spark, folder)),
     "SELECT risk_tier, CAST(min(length(coalesce(explanation, ''))) AS INTEGER) AS min_chars FROM explained GROUP BY risk_tier")
 
+
+def dq_faulty_outputs(spark, folder) -> DataFrame:
+    """All output rules on a list made faulty in the same way, with two of its columns exchanged."""
+    listed = _published(spark, folder).withColumns({
+        "denial_probability": F.when(_ends(1), F.lit(1.5)).otherwise(F.col("denial_probability")),
+        "predicted_denial": F.when(_ends(3), F.lit(2)).otherwise(F.col("predicted_denial")),
+        "risk_tier": F.when(_ends(5), F.lit("Urgent")).otherwise(F.col("risk_tier")),
+        "explanation": F.when(_ends(7), F.lit("")).otherwise(F.col("explanation")),
+    })
+    columns = ["rank", *K.SCORED_COLUMNS]
+    columns[-2:] = columns[:-3:-1]
+    faulty = stage_table(listed.select(*columns), "faulty")
+    return C.check_outputs(faulty.union(faulty.filter(_ends(9))), expected_tiers=K.EXPECTED_TIER_ROWS)
+
+
+_LISTED = """SELECT rank, claim_id, CASE WHEN claim_id LIKE '%1' THEN 1.5e0 ELSE prob END AS prob,
+  CASE WHEN claim_id LIKE '%5' THEN 'Urgent' ELSE risk_tier END AS tier FROM tiered"""
+_FAULTY = f"FROM ({_LISTED} UNION ALL {_LISTED} WHERE claim_id LIKE '%9') AS f"
+add("dq_faulty_outputs", dq_faulty_outputs, _rule_sql(
+    ("out_row_count", "abs(count(*) - 500)", _FAULTY),
+    ("out_unique_key", "count(*) - count(DISTINCT claim_id)", _FAULTY),
+    ("out_prob_range", _ending(1, "true"), _FAULTY),
+    ("out_binary_pred", _ending(3, "true"), _FAULTY),
+    ("out_tier_domain", _ending(5, "true"), _FAULTY),
+    *[(f"out_tier_count_{t.lower()}", f"abs(count(*) FILTER (tier = '{t}') - {n})", _FAULTY) for t, n in K.EXPECTED_TIER_ROWS.items()],
+    ("out_preview_text", _ending(7, "rank <= 10"), _FAULTY),
+    ("out_all_text", _ending(7, "true"), _FAULTY),
+    ("out_monotonic", "count(*) FILTER (prob > before)", f"FROM (SELECT prob, lag(prob) OVER (ORDER BY rank) AS before {_FAULTY}) AS l"),
+    ("out_columns", "1", "")))
+
 # --- features -----------------------------------------------------------------------------------
 
 

@@ -270,10 +270,12 @@ add("io_write_run", lambda spark, folder: _wide(_stored_runs(spark, folder)), _W
 
 
 def io_read_runs(spark, folder) -> DataFrame:
-    """Run documents as JSON, one folder per experiment, read back under a fixed schema."""
-    path = fresh_path(spark, "run-documents")
-    _runs(spark, folder).write.json(path)
-    return _wide(spark.read.schema(R.RUN_SCHEMA).json(path))
+    """Run documents as JSON, one folder per run, read back under a fixed schema; the folder names the experiment."""
+    runs, path = stage_table(_runs(spark, folder), "runs"), fresh_path(spark, "run-documents")
+    for row in runs.select("experiment_name", "run_id").collect():  # one row a run
+        one = (F.col("experiment_name") == row["experiment_name"]) & (F.col("run_id") == row["run_id"])
+        stores.write_run_document(runs.filter(one).drop("experiment_name"), path, row["experiment_name"], row["run_id"])
+    return _wide(stores.read_run_documents(spark, path))
 
 
 add("io_read_runs", io_read_runs, _WIDE_SQL)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskledger import constants as K
-from riskledger.functions.wording import friendly_label, label_array, ordered_label
+from riskledger.functions.wording import feature_name, friendly_label, label_array, ordered_label
 from riskledger.operators import attribution as A
 from riskledger.operators import metrics as M
 from riskledger.operators import scoring as S
@@ -243,8 +243,9 @@ def nm_sanitise(spark, folder) -> DataFrame:
     levels = claims.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in K.CATEGORIES
     ]))).groupBy("column", "level").agg(F.count("*").alias("claims"))
-    safe = F.regexp_replace(F.concat_ws("_", "column", "level"), r"[\[\]<>]", "_")
-    return levels.select(safe.alias("feature"), "claims")
+    # One row a level, all of which the matrix names in the driver as well; levels whose safe names are equal are added up.
+    named = [(feature_name(r["column"], r["level"]), r["claims"]) for r in levels.collect()]
+    return spark.createDataFrame(named, "feature string, claims long").groupBy("feature").agg(F.sum("claims").alias("claims"))
 
 
 add("nm_sanitise", nm_sanitise, """

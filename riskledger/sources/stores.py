@@ -77,10 +77,15 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*RUN_SCHEMA.names)
 
 
+def write_run_document(run: DataFrame, folder: str, experiment: str, run_id: str) -> None:
+    """A one-row run as ``<folder>/<experiment>/<run>/run_metadata.json``; a rerun replaces it."""
+    run.coalesce(1).write.mode("overwrite").json(f"{folder}/{experiment}/{run_id}/run_metadata.json")
+
+
 def read_run_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Run documents kept one per folder, ``<folder>/<experiment>/<run>/run_metadata.json``."""
+    """Run documents kept one per folder, ``<folder>/<experiment>/<run>/run_metadata.json`` (a file, or a folder of one)."""
     raw = spark.read.schema(RUN_SCHEMA).option("multiLine", True).json(f"{folder}/*/*/run_metadata.json")
-    named = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+/run_metadata\.json$", 1)
+    named = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+/run_metadata\.json(?:/[^/]*)?$", 1)
     return raw.withColumn("experiment_name", F.coalesce(F.col("experiment_name"), named))
 
 

@@ -11,6 +11,7 @@ from riskledger.operators import attribution as A
 from riskledger.operators import metrics as M
 from riskledger.operators import scoring as S
 from riskledger.operators.ensembles import weighted_vote
+from riskledger.operators.order_statistics import percentile
 from riskledger.plans.catalog.base import (
     SCORECARD, add, card_scores, claims_from_orders, current_claims, features, history_claims, model_scores, quoted, tiered,
 )
@@ -54,7 +55,8 @@ add("mt_pr_auc", _summary("pr_auc", "pr_auc"), f"SELECT model, round(pr_auc, 9)
 add("mt_roc_auc", _summary("roc_auc", "roc_auc"), f"SELECT model, round(roc_auc, 9) AS roc_auc FROM ({_AUC}) AS t")
 add("mt_brier", lambda spark, folder: M.brier(model_scores(spark, folder), ["model"]).select("model", F.round("brier", 9).alias("brier")),
     "SELECT model, round(avg((prob - label) * (prob - label)), 9) AS brier FROM models GROUP BY model")
-add("mt_threshold_p75", _summary("binary_threshold", "threshold"), f"SELECT model, round(cut, 9) AS threshold FROM ({_CUTS}) AS t")
+add("mt_threshold_p75", lambda spark, folder: percentile(model_scores(spark, folder), "prob", 0.75, ["model"], "threshold").withColumn(
+    "threshold", F.round("threshold", 9)), f"SELECT model, round(cut, 9) AS threshold FROM ({_CUTS}) AS t")
 
 
 def mt_confusion(spark, folder) -> DataFrame:

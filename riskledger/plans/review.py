@@ -16,6 +16,7 @@ from riskledger.operators.explain import explain
 from riskledger.operators.learners import Fitted, fit_logistic, score_many, sweep_logistic
 from riskledger.operators.matrix import Matrix, fit_matrix
 from riskledger.operators.metrics import calibration_gain, evaluate, score_summary
+from riskledger.operators.order_statistics import percentile
 from riskledger.operators.scoring import Scorecard, rank_and_tier
 from riskledger.workspace import partition_count
 
@@ -33,9 +34,8 @@ def score_with_card(claims: DataFrame, card: Scorecard, keep: Sequence[str] = ()
 
 def card_threshold(history: DataFrame, card: Scorecard) -> float:
     """75th percentile of the card's probabilities on the validation claims."""
-    rows = card.score(add_features(take_split(history, "validation")), "prob")
-    rows = rows.select(K.KEY, "prob", F.col(K.TARGET).alias("label"))
-    return score_summary(rows, by=[]).first()["binary_threshold"]
+    labelled_rows = take_split(history, "validation").filter(F.col(K.TARGET).isNotNull())
+    return percentile(card.score(add_features(labelled_rows), "prob"), "prob", 0.75).first()["value"]
 
 
 def publish(explained: DataFrame) -> DataFrame:

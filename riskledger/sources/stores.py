@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from riskledger import constants as K
 from riskledger.operators.audit import RECORD_SCHEMA, run_summary
 from riskledger.operators.runs import EVENT_SCHEMA, RUN_SCHEMA, current_state
+from riskledger.workspace import partition_count
 
 AUDIT_FILE_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -35,14 +36,20 @@ AUDIT_FILE_SCHEMA = T.StructType([
 
 # --- scored table and metrics -------------------------------------------------------------------
 
-def write_scored(scored: DataFrame, path: str, file_format: str = "parquet", mode: str = "errorifexists") -> None:
+def write_scored(scored: DataFrame, path: str, file_format: str = "parquet", mode: str = "errorifexists", rows_per_file: int = 1 << 20) -> None:
     """The six published columns, preceded by the rank, as files sorted by rank.
 
-    The sort is range-partitioned: files hold consecutive rank ranges, one file per partition.
+    Ranks are taken to run from 1 without gaps.  The block ``floor((rank - 1) / rows_per_file)`` names the task, so
+    nothing is sampled and the rows are worked out once.  A task with several blocks sorts them, and its files are cut
+    at ``rows_per_file`` rows, so that each file holds one block.  Rows without a rank are sorted over range partitions.
     """
-    columns = ["rank", *K.SCORED_COLUMNS] if "rank" in scored.columns else list(K.SCORED_COLUMNS)
-    writer = scored.select(*columns).orderBy(*(["rank"] if "rank" in columns else [F.desc("denial_probability"), K.KEY])).write
-    writer.mode(mode).option("header", True).format(file_format).save(path)
+    if "rank" in scored.columns:
+        block = F.floor((F.col("rank") - 1) / rows_per_file)
+        tasks = partition_count(scored.sparkSession)
+        laid = scored.select("rank", *K.SCORED_COLUMNS).repartitionById(tasks, F.pmod(block, F.lit(tasks)).cast("int")).sortWithinPartitions("rank")
+    else:
+        laid = scored.select(*K.SCORED_COLUMNS).orderBy(F.desc("denial_probability"), K.KEY)
+    laid.write.mode(mode).option("header", True).option("maxRecordsPerFile", rows_per_file).format(file_format).save(path)
 
 
 def write_metrics(document: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -176,6 +176,16 @@ def _rates() -> list[Column]:
     ]
 
 
+def summary_columns() -> list[Column]:
+    """All counts, sums and rates of a group of records; each can be kept up to date row by row."""
+    return [*_counts(), *_token_sums(), *_rates()]
+
+
+def event_time() -> Column:
+    """When a record was made; null where its timestamp is none."""
+    return F.try_to_timestamp(F.col("timestamp"))
+
+
 def header(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return log.groupBy(*by).agg(*_counts())
 
@@ -192,4 +202,4 @@ def quality_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def run_summary(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """All counts, sums and rates of a run in one row, from one aggregate."""
-    return log.groupBy(*by).agg(*_counts(), *_token_sums(), *_rates())
+    return log.groupBy(*by).agg(*summary_columns())

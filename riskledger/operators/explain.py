@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from riskledger import constants as K
 from riskledger.functions.wording import action_for
 from riskledger.operators.scoring import risk_label
-from riskledger.workspace import stage_table
+from riskledger.workspace import fresh_path, stage_table
 
 COMPLETION_SCHEMA = T.StructType([
     T.StructField("responded", T.BooleanType()),
@@ -25,8 +25,10 @@ COMPLETION_SCHEMA = T.StructType([
     T.StructField("completion_tokens", T.LongType()),
     T.StructField("total_duration_ns", T.LongType()),
     T.StructField("eval_duration_ns", T.LongType()),
+    T.StructField("completion_error", T.StringType()),
 ])
 COMPLETION_COLUMNS = COMPLETION_SCHEMA.names
+STORE_SCHEMA = T.StructType([T.StructField("call", T.StringType()), *COMPLETION_SCHEMA.fields])
 CompletionFunction = Callable[[pd.Series], pd.DataFrame]
 
 
@@ -145,21 +147,9 @@ def plain_text(response: Column) -> Column:
 
 # --- completions --------------------------------------------------------------------------------
 
-def complete(
-    routed_rows: DataFrame,
-    function: CompletionFunction,
-    prompt_column: str = "prompt",
-    lanes: int | None = None,
-    batch: int = 32,
-) -> DataFrame:
-    """Adds the completion columns to rows that need one.
-
-    ``function`` maps up to ``batch`` prompts to a frame with the completion columns; prompts of a failed
-    batch are tried one at a time, and one that fails alone has no response.  ``lanes`` sets how many batches run at a time.
-    The result is written once, so that later steps never repeat a call.
-    """
-    spread = routed_rows.repartition(lanes) if lanes else routed_rows
-    schema = T.StructType([*routed_rows.schema.fields, *COMPLETION_SCHEMA.fields])
+def _answered(rows: DataFrame, function: CompletionFunction, prompt_column: str, batch: int) -> DataFrame:
+    """Rows with the completion columns, ``batch`` prompts a call."""
+    schema = T.StructType([*rows.schema.fields, *COMPLETION_SCHEMA.fields])
     names = list(COMPLETION_COLUMNS)
 
     def answer(prompts: pd.Series) -> list[dict]:
@@ -168,11 +158,12 @@ def complete(
             replies = got.where(got.notna(), None).to_dict("records")
             if len(replies) == len(prompts):
                 return replies
-        except Exception:  # noqa: BLE001 - a failed call is data here
-            pass
+            reason = f"{len(replies)} replies to {len(prompts)} prompts"
+        except Exception as error:  # noqa: BLE001 - a failed call is data here
+            reason = f"{type(error).__name__}: {error}"
         if len(prompts) > 1:  # one bad prompt fails alone
             return [r for i in range(len(prompts)) for r in answer(prompts.iloc[i:i + 1])]
-        return [{"responded": False}]
+        return [{"responded": False, "completion_error": reason}]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -182,7 +173,75 @@ def complete(
             columns["responded"] = columns["responded"].map(bool)
             yield rows.assign(**columns)
 
-    return stage_table(spread.mapInPandas(run, schema), "completions")
+    return rows.mapInPandas(run, schema)
+
+
+def complete(
+    routed_rows: DataFrame,
+    function: CompletionFunction,
+    prompt_column: str = "prompt",
+    lanes: int | None = None,
+    batch: int = 32,
+    store: str | None = None,
+    calls_per_write: int = 50_000,
+) -> DataFrame:
+    """Adds the completion columns to rows that need one.
+
+    ``function`` maps up to ``batch`` prompts to a frame with the completion columns; prompts of a failed
+    batch are tried one at a time, and one that fails alone has no response but the reason in
+    ``completion_error``.  ``lanes`` sets how many batches run at a time.
+    The result is written once, so that later steps never repeat a call.  With ``store``, replies are kept there
+    as well, and calls that it has a response to are not made (see :func:`complete_missing`).
+    """
+    if store is None:
+        spread = routed_rows.repartition(lanes) if lanes else routed_rows
+        return stage_table(_answered(spread, function, prompt_column, batch), "completions")
+    named = routed_rows.withColumn("_call", call_key(F.col(K.KEY), F.col(prompt_column)))
+    complete_missing(named.select("_call", prompt_column), function, store, prompt_column, lanes, batch, calls_per_write)
+    replies = _one_reply(stored_completions(routed_rows.sparkSession, store), "call").withColumnRenamed("call", "_call")
+    return stage_table(named.join(replies, "_call", "left").select(*routed_rows.columns, *COMPLETION_COLUMNS), "completions")
+
+
+def call_key(claim_id: Column, prompt_text: Column) -> Column:
+    """Name of a call: the same for the same claim and prompt, in every run."""
+    return F.sha2(F.to_json(F.struct(claim_id.cast("string").alias("claim"), prompt_text.alias("prompt"))), 256)
+
+
+def stored_completions(spark, store: str) -> DataFrame:
+    """The replies kept in a store, which is made where there is none."""
+    spark.createDataFrame([], STORE_SCHEMA).write.mode("ignore").parquet(store)
+    return spark.read.schema(STORE_SCHEMA).parquet(store)
+
+
+def complete_missing(
+    calls: DataFrame,
+    function: CompletionFunction,
+    store: str,
+    prompt_column: str = "prompt",
+    lanes: int | None = None,
+    batch: int = 32,
+    calls_per_write: int = 50_000,
+) -> None:
+    """Makes the calls (``_call`` and a prompt) that the store holds no response to, and appends their replies.
+
+    Repeated calls are made once.  About ``calls_per_write`` calls are one job that ends with its replies in the
+    store: whatever fails later, a lost driver included, a rerun goes on behind the last such job.  A task that is
+    tried again repeats its own share of one job.  A call without a response is made again in the next run, not in this.
+    """
+    spark = calls.sparkSession
+    known = stored_completions(spark, store).filter("responded").select(F.col("call").alias("_call"))
+    missing = stage_table(calls.dropDuplicates(["_call"]).join(known, "_call", "left_anti"), "calls")
+    waves = -(-missing.count() // calls_per_write)
+    if not waves:
+        return
+    waved = missing.withColumn("_wave", F.pmod(F.xxhash64("_call"), F.lit(waves)).cast("int"))
+    path = fresh_path(spark, "waves")
+    waved.repartition("_wave").write.partitionBy("_wave").parquet(path)
+    for wave in range(waves):  # one job, not one row, a turn
+        rows = spark.read.schema(waved.schema).parquet(path).filter(F.col("_wave") == wave).drop("_wave")
+        spread = rows.repartition(lanes or spark.sparkContext.defaultParallelism)
+        replies = _answered(spread, function, prompt_column, batch).drop(prompt_column)
+        replies.withColumnRenamed("_call", "call").write.mode("append").parquet(store)
 
 
 def strip_fence(text: Column) -> Column:
@@ -298,10 +357,11 @@ def explain(
     completion: CompletionFunction | None = None,
     completions: DataFrame | None = None,
     lanes: int | None = None,
+    store: str | None = None,
 ) -> DataFrame:
     """Scored rows with their ``explanation`` and everything an audit record needs.
 
-    Routed rows are completed by ``completion``, or looked up in a ``completions`` table keyed by the
+    Routed rows are completed by ``completion`` (replies are kept in and taken from ``store``, if named), or looked up in a ``completions`` table keyed by the
     claim id; without either, every row takes the template.  Routed rows are a separate branch, so
     the callable sees no other row.
     """
@@ -313,7 +373,7 @@ def explain(
         plain = plain.withColumn(field.name, F.lit(None).cast(field.dataType))
     wide = plain
     if completion is not None:
-        wide = plain.unionByName(complete(ready.filter("use_api"), completion, lanes=lanes))
+        wide = plain.unionByName(complete(ready.filter("use_api"), completion, lanes=lanes, store=store))
     elif completions is not None:
         wide = plain.unionByName(
             ready.filter("use_api").join(one_per_claim(completions), K.KEY, "left")
@@ -322,10 +382,19 @@ def explain(
 
 
 def one_per_claim(completions: DataFrame) -> DataFrame:
-    """One completion per claim: one that responded before one that did not, then the smallest by its fields."""
-    reply = F.struct((~F.coalesce("responded", F.lit(False))).alias("late"), *COMPLETION_COLUMNS)
-    kept = completions.groupBy(K.KEY).agg(F.min(reply).alias("_reply"))
-    return kept.select(K.KEY, *[F.col("_reply")[c].alias(c) for c in COMPLETION_COLUMNS])
+    """One completion per claim: one that responded before one that did not, then the smallest by its fields.
+
+    A table without the reasons of failed calls has none.
+    """
+    if "completion_error" not in completions.columns:
+        completions = completions.withColumn("completion_error", F.lit(None).cast("string"))
+    return _one_reply(completions, K.KEY)
+
+
+def _one_reply(replies: DataFrame, key: str) -> DataFrame:
+    best = F.struct((~F.coalesce("responded", F.lit(False))).alias("late"), *COMPLETION_COLUMNS)
+    kept = replies.groupBy(key).agg(F.min(best).alias("_reply"))
+    return kept.select(key, *[F.col("_reply")[c].alias(c) for c in COMPLETION_COLUMNS])
 
 
 def settle(wide: DataFrame) -> DataFrame:

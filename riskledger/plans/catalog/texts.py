@@ -12,6 +12,8 @@ from riskledger.operators import explain as E
 from riskledger.plans.catalog.base import SCORECARD, TABLES, add, card_scores, current_claims, quoted, tiered
 from riskledger.plans.review import publish, score_with_card
 from riskledger.sources import stores
+from riskledger.streaming.audit import windowed_summary
+from riskledger.streaming.review import store_stream
 from riskledger.workspace import fresh_path
 
 MODEL = "stub-writer"
@@ -279,7 +281,7 @@ add("xp_plain_text", xp_plain_text, "SELECT claim_id, template_text AS text FROM
 # --- completions and parsing --------------------------------------------------------------------
 
 
-def stub_writer():
+def stub_writer(action: str = "Review them first."):
     """A completion function that answers from the prompt alone.
 
     It is made inside a function so that it travels to the workers by value.
@@ -287,7 +289,7 @@ def stub_writer():
 
     def write(prompts: pd.Series) -> pd.DataFrame:
         ids = prompts.str.extract(r"Claim ID: (\S+)", expand=False)
-        raw = '{"claim_id": "' + ids + '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "Review them first."}'
+        raw = '{"claim_id": "' + ids + '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "' + action + '"}'
         return pd.DataFrame({
             "responded": True, "raw": raw, "prompt_tokens": prompts.str.len(), "completion_tokens": raw.str.len(),
             "total_duration_ns": prompts.str.len() * 1_000_000, "eval_duration_ns": None,
@@ -305,6 +307,19 @@ add("xp_complete", xp_complete, """
 SELECT claim_id, true AS responded, raw, length(prompt) AS prompt_tokens, length(raw) AS completion_tokens FROM (
   SELECT claim_id, prompt, '{"claim_id": "' || claim_id || '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "Review them first."}' AS raw
   FROM requests WHERE use_api) AS r""")
+def xp_complete_store(spark, folder) -> DataFrame:
+    """A run over claims of even number, then one over all by another writer: stored replies stay, only missing calls are made."""
+    routed, store = _prepared(spark, folder).filter("use_api").select(K.KEY, "prompt"), fresh_path(spark, "replies")
+    E.complete(routed.filter(F.substring(K.KEY, -1, 1).cast("int") % 2 == 0), stub_writer(), store=store)
+    done = E.complete(routed, stub_writer("Ask the payer first."), store=store)
+    return done.select(K.KEY, "responded", "raw", "prompt_tokens", "completion_tokens", "completion_error")
+
+
+add("xp_complete_store", xp_complete_store, """
+SELECT claim_id, true AS responded, raw, length(prompt) AS prompt_tokens, length(raw) AS completion_tokens, CAST(NULL AS VARCHAR) AS completion_error FROM (
+  SELECT claim_id, prompt, '{"claim_id": "' || claim_id || '", "disclaimer": "A statistical estimate only.", "risk_description": "See the listed facts.", "recommended_action": "'
+    || CASE WHEN CAST(right(claim_id, 1) AS INTEGER) % 2 = 0 THEN 'Review them first.' ELSE 'Ask the payer first.' END || '"}' AS raw
+  FROM requests WHERE use_api) AS r""")
 add("xp_strip_fence", lambda spark, folder: _completions(spark, folder).select(K.KEY, E.strip_fence(F.col("raw")).alias("cleaned")),
     "SELECT claim_id, cleaned FROM parsed")
 
@@ -429,6 +444,39 @@ add("au_quality_summary", lambda spark, folder: _rounded(U.quality_summary(_reco
     f"SELECT risk_tier, count(*) AS total_calls, {_RATE_SQL} FROM log GROUP BY risk_tier")
 add("au_header", lambda spark, folder: U.header(_records(spark, folder), ["risk_tier"]), f"SELECT risk_tier, {_COUNT_SQL} FROM log GROUP BY risk_tier")
 
+_DAY = 1_704_067_200
+
+
+def _timed_records(spark, folder) -> DataFrame:
+    """Records made seven seconds apart in the order of the claim numbers."""
+    number = F.substring("claim_id", 6, 8).cast("long")
+    return _records(spark, folder).withColumn("timestamp", F.date_format(F.timestamp_seconds(F.lit(_DAY) + 7 * number), "yyyy-MM-dd'T'HH:mm:ssxxx"))
+
+
+def _hours(windows: DataFrame) -> DataFrame:
+    hour = ((F.unix_timestamp("window_start") - _DAY) / 3600).cast("long")
+    return _rounded(windows.withColumn("hour", hour).drop("window_start", "window_end"))
+
+
+def au_window_summary(spark, folder) -> DataFrame:
+    """Every hour of a stored log."""
+    return _hours(windowed_summary(_timed_records(spark, folder)))
+
+
+def au_window_stream(spark, folder) -> DataFrame:
+    """The hours that a stream over the stored records has published when it has read them all."""
+    source, target = fresh_path(spark, "records"), fresh_path(spark, "windows")
+    _timed_records(spark, folder).write.parquet(source)
+    windows = windowed_summary(spark.readStream.schema(U.RECORD_SCHEMA).parquet(source))
+    store_stream(windows, target, fresh_path(spark, "progress")).awaitTermination()
+    return _hours(spark.read.schema(windows.schema).parquet(target))
+
+
+_HOURLY = f"""SELECT hour, risk_tier, {_COUNT_SQL}, {_TOKEN_SQL}, {_RATE_SQL} FROM (
+  SELECT *, CAST(substr(claim_id, 6) AS BIGINT) * 7 // 3600 AS hour, max(CAST(substr(claim_id, 6) AS BIGINT) * 7) OVER () AS newest FROM log) AS l"""
+add("au_window_summary", au_window_summary, f"{_HOURLY} GROUP BY hour, risk_tier")
+add("au_window_stream", au_window_stream, f"{_HOURLY} WHERE (hour + 1) * 3600 <= newest - 600 GROUP BY hour, risk_tier")
+
 # --- stored tables ------------------------------------------------------------------------------
 
 

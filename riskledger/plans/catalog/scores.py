@@ -147,7 +147,7 @@ FROM (SELECT *, max(capture) OVER () AS best, CASE WHEN model = 'Cal-LR' THEN 0
       FROM (SELECT 'LR' AS model, 0 AS position, claim_id, is_denied AS label, margin AS s FROM scored WHERE split = 'validation'
         UNION ALL SELECT 'Cal-LR', 1, claim_id, is_denied, margin * 0.98e0 FROM scored WHERE split = 'validation'
         UNION ALL SELECT 'Gaps', 2, claim_id, is_denied, total_admin_gaps / 5e0 FROM scored WHERE split = 'validation') AS m) AS r
-    GROUP BY model, position) AS c) AS t WHERE best - capture < 1e-9""".replace("WITH_MODELS ", ""))
+    GROUP BY model, position) AS c) AS t WHERE best - capture < 1e-9""")
 
 
 def ml_vote_combine(spark, folder) -> DataFrame:

@@ -179,3 +179,28 @@ def test_registered_experiments_have_full_size(spark, sample, monkeypatch):
         with pytest.raises(Ended):
             entry.queries()[name](spark, "")
     assert used == [P.Sizes(200, 200, None, 500, 5)] * 3
+
+
+def test_early_boosting_is_cut_out_of_its_fit(spark, sample, tmp_path, monkeypatch):
+    """No round is fitted a second time for the trees that are kept; the cut model equals a fit of so many rounds."""
+    frame, _, _ = sample
+    sizes, real = [], L.fit_boosted
+    monkeypatch.setattr(L, "fit_boosted", lambda rows, rounds, **options: sizes.append(rounds) or real(rows, rounds, **options))
+    monkeypatch.setattr(L, "best_round", lambda losses, patience: (3, True))
+    cut = L.fit_boosted_early(frame, frame, rounds=6, start=6)
+    assert sizes == [6] and cut.model.getNumTrees == 3
+    write_model(spark, cut, str(tmp_path / "cut"))
+    for model in (cut, read_model(spark, str(tmp_path / "cut"))):
+        pair = model.score(frame, "a").join(real(frame, 3).score(frame, "b").select("claim_id", "b"), "claim_id")
+        assert pair.filter("abs(a - b) > 1e-12").count() == 0
+
+
+def test_learners_get_a_partition_per_core_at_most(spark):
+    """A task of a forest hands on the sums of all open nodes, so partitions do not grow with the rows until they are large."""
+    from riskledger.workspace import compact
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1_000_000, numPartitions=64)
+    assert compact(many).rdd.getNumPartitions() == cores
+    assert compact(many, most_rows=50_000).rdd.getNumPartitions() == max(20, cores)
+    assert compact(spark.range(100, numPartitions=64)).rdd.getNumPartitions() == 1

@@ -167,12 +167,17 @@ def profiles(texts: DataFrame) -> DataFrame:
 
 
 def linked_in_group(node: np.ndarray, comp: np.ndarray, signs: np.ndarray, items: list[np.ndarray]) -> np.ndarray:
-    """Pairs of different components that reach the similarity; signatures sort out most others first."""
+    """Pairs that reach the similarity and join the components of a group; signatures sort out most others first.
+
+    A pair is put out only if no earlier pairs of the group join its components already, so there are fewer pairs than
+    components, and texts that are joined are not compared again.  All components that links reach are joined.
+    """
     size = np.array([len(x) for x in items])
     offset = np.cumsum(size) - size
     names, flat = np.unique(np.concatenate(items), return_inverse=True)
     mark = np.zeros(len(names), np.bool_)
     label, place, count = np.unique(comp, return_inverse=True, return_counts=True)
+    joined = np.arange(len(label))
     found = [np.zeros((0, 2), np.int64)]
     done = np.zeros(len(node), np.bool_)
     for k in np.argsort(count, kind="stable")[: len(label) - 1]:  # all but the largest: each pair has one of them
@@ -180,6 +185,7 @@ def linked_in_group(node: np.ndarray, comp: np.ndarray, signs: np.ndarray, items
         done[inside] = True
         outside = np.flatnonzero(~done)
         for r in inside:
+            outside = outside[joined[place[outside]] != joined[k]]
             hits = outside[(signs[outside] != signs[r]).sum(axis=1) <= FAR]
             hits = hits[100 * np.minimum(size[hits], size[r]) >= PERCENT * np.maximum(size[hits], size[r])]
             if not len(hits):
@@ -191,12 +197,16 @@ def linked_in_group(node: np.ndarray, comp: np.ndarray, signs: np.ndarray, items
             shared = np.add.reduceat(mark[flat[spread]].astype(np.int64), start)
             mark[flat[offset[r] : offset[r] + size[r]]] = False
             hits = hits[100 * shared >= PERCENT * (n + size[r] - shared)]
+            others, first = np.unique(joined[place[hits]], return_index=True)
+            hits = hits[first]
+            joined[np.isin(joined, others)] = joined[k]
             found.append(np.stack((np.minimum(node[hits], node[r]), np.maximum(node[hits], node[r])), axis=1))
     return np.unique(np.concatenate(found), axis=0)
 
 
 def cross_pairs(members: DataFrame, comp: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) of members (bucket, node) of one bucket that similarity links, but components do not yet.
+    """Pairs (a, b) of members (bucket, node) of one bucket that similarity links, but components do not yet: as many as
+    join all components that such pairs join.
 
     Only buckets with several components take part.  Large buckets are cut into blocks; each two blocks meet in one
     group of bounded size, which compares whole shingle sets and puts out links alone.

@@ -508,3 +508,30 @@ def test_kernel_of_a_long_text_equals_sets():
         assert len(found) - 0.02 * len(found) ** 2 / language.BUCKETS * 50 <= row.sum() <= len(found)  # some n-grams share a cell
     again, _ = language.presence(texts[2:3])
     assert (again[0] == cells[2]).all()
+
+
+def test_links_of_a_group_are_fewer_than_its_components():
+    """A group of near copies gives a spanning tree of links, not all pairs, and joins the same components."""
+    rng = np.random.default_rng(5)
+    base = [rng.integers(0, 1 << 62, 60).astype(np.uint64) for _ in range(3)]
+    items = [np.unique(np.concatenate((np.delete(base[i % 3], rng.integers(0, 60, 4)), rng.integers(0, 1 << 62, 2).astype(np.uint64)))) for i in range(60)]
+    node, comp = np.arange(60) * 10, np.repeat(np.arange(30), 2)
+    signs = np.stack([neardup.signature(x) for x in items])
+
+    def parts(pairs):
+        own = {int(n): int(c) for n, c in zip(node, comp)}
+        for a, b in pairs:
+            low, high = sorted((own[int(a)], own[int(b)]))
+            own = {n: low if c == high else c for n, c in own.items()}
+        return {frozenset(n for n in own if own[n] == c) for c in own.values()}
+
+    every = []
+    for a in range(60):
+        for b in range(a):
+            shared = len(np.intersect1d(items[a], items[b]))
+            if 100 * shared >= 75 * (len(items[a]) + len(items[b]) - shared):
+                every.append((node[a], node[b]))
+    got = neardup.linked_in_group(node, comp, signs, items)
+    assert len(every) > 400 and 0 < len(got) < 30
+    assert parts(got) == parts(every)
+    assert {(int(a), int(b)) for a, b in got} <= {(int(min(p)), int(max(p))) for p in every}

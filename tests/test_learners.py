@@ -204,3 +204,25 @@ def test_learners_get_a_partition_per_core_at_most(spark):
     assert compact(many).rdd.getNumPartitions() == cores
     assert compact(many, most_rows=50_000).rdd.getNumPartitions() == max(20, cores)
     assert compact(spark.range(100, numPartitions=64)).rdd.getNumPartitions() == 1
+
+
+def test_mapped_rows_are_kept_once_and_by_one_fit_at_a_time(sample, monkeypatch):
+    """The kernel machine keeps no copy of its mapped rows beside the learner's blocks, and folds do not overlap."""
+    import threading
+
+    frame, _, _ = sample
+    real, mapped = L.random_features, []
+    monkeypatch.setattr(L, "random_features", lambda *a: mapped.append(real(*a)) or mapped[-1])
+    kept = []
+    monkeypatch.setattr(type(frame), "persist", lambda df, *a: kept.append(df) or df)
+    L.fit_kernel_machine(frame, dims=16, max_iter=3)
+    assert mapped and not any(df is m for df in kept for m in mapped)
+    lock, overlaps = threading.Lock(), []
+
+    def fit(rows):
+        overlaps.append(not lock.acquire(blocking=False))
+        threading.Event().wait(0.2)
+        lock.release()
+
+    N.side_by_side([lambda: N.one_at_a_time(fit)(None)] * 3)
+    assert overlaps == [False] * 3

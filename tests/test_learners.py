@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 from riskledger import constants as K
 from riskledger.operators import ensembles as N
 from riskledger.operators import learners as L
+from riskledger.operators import passes as S
 from riskledger.operators.matrix import fit_matrix
 from riskledger.operators.metrics import score_summary
 from riskledger.plans import experiments as P
@@ -226,3 +227,26 @@ def test_mapped_rows_are_kept_once_and_by_one_fit_at_a_time(sample, monkeypatch)
 
     N.side_by_side([lambda: N.one_at_a_time(fit)(None)] * 3)
     assert overlaps == [False] * 3
+
+
+def test_penalties_share_few_passes(sample, monkeypatch):
+    """All penalties of a grid are fitted together, in about as many passes as Newton steps."""
+    frame, x, y = sample
+    passes, real = [], S.total
+    monkeypatch.setattr(S, "total", lambda blocks, sums: passes.append(1) or real(blocks, sums))
+    grid = (0.01, 0.1, 1.0, 10.0)
+    models = [m.model for m in L.fit_logistics(frame, grid, None)]
+    assert len(passes) <= 10
+    for c, model in zip(grid, models):
+        assert np.append(model.coefficients.toArray(), model.intercept) == pytest.approx(newton(x, y, np.ones(600), c), abs=1e-8)
+
+
+def test_logistic_with_constant_columns_one_class_and_blocks(spark):
+    rng = np.random.default_rng(5)
+    x = np.c_[rng.normal(size=9000), np.ones(9000), np.zeros(9000)]
+    y = (x[:, 0] + rng.normal(size=9000) > 1).astype(int)
+    frame = spark.createDataFrame([(int(k), Vectors.dense(v)) for v, k in zip(x, y)], ["label", "features"]).repartition(1)
+    model = L.fit_logistic(frame, 1.0, None).model
+    b = newton(x[:, :1], y, np.ones(9000), 1.0)
+    assert np.append(model.coefficients.toArray(), model.intercept) == pytest.approx([b[0], 0, 0, b[1]], abs=1e-6)
+    assert L.fit_logistic(frame.filter("label = 0"), 1.0, None).score(frame).agg(F.max("prob")).first()[0] < 1e-6

@@ -233,7 +233,7 @@ def test_penalties_share_few_passes(sample, monkeypatch):
     """All penalties of a grid are fitted together, in about as many passes as Newton steps."""
     frame, x, y = sample
     passes, real = [], S.total
-    monkeypatch.setattr(S, "total", lambda blocks, sums: passes.append(1) or real(blocks, sums))
+    monkeypatch.setattr(S, "total", lambda *a: passes.append(1) or real(*a))
     grid = (0.01, 0.1, 1.0, 10.0)
     models = [m.model for m in L.fit_logistics(frame, grid, None)]
     assert len(passes) <= 10
@@ -250,3 +250,38 @@ def test_logistic_with_constant_columns_one_class_and_blocks(spark):
     b = newton(x[:, :1], y, np.ones(9000), 1.0)
     assert np.append(model.coefficients.toArray(), model.intercept) == pytest.approx([b[0], 0, 0, b[1]], abs=1e-6)
     assert L.fit_logistic(frame.filter("label = 0"), 1.0, None).score(frame).agg(F.max("prob")).first()[0] < 1e-6
+
+
+def test_network_slopes_and_steps(sample, monkeypatch):
+    """Slopes equal differences of Spark's own loss, a step takes little more than one pass, and all rows are in every pass."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    frame, x, y = sample
+    layers, weight = [3, 4, 2], np.ones(600)
+    learner = MultilayerPerceptronClassifier(layers=layers, maxIter=0, seed=2, blockSize=1)
+    start = learner.fit(frame)
+    flat = start.weights.toArray()
+    found = S._network_sums(flat, layers)(x, y, weight) / 600
+    assert found[1] == pytest.approx(start.summary().objectiveHistory[0])
+    for i in range(len(flat)):
+        near = np.eye(len(flat))[i] * 1e-5
+        up, down = (S._network_sums(flat + d, layers)(x, y, weight)[1] / 600 for d in (near, -near))
+        assert found[2 + i] == pytest.approx((up - down) / 2e-5, abs=1e-7)
+    passes, real = [], S.total
+    monkeypatch.setattr(S, "total", lambda *a: passes.append(real(*a)) or passes[-1])
+    model = L.fit_network(frame, (4,), 15, 2).model
+    assert 15 <= len(passes) <= 30 and all(p[0] == 600 for p in passes)
+    spark_way = MultilayerPerceptronClassifier(layers=layers, maxIter=15, seed=2).fit(frame).summary().objectiveHistory[-1]
+    mine = S._network_sums(model.weights.toArray(), layers)(x, y, weight)[1] / 600
+    assert mine < found[1] and mine == pytest.approx(spark_way, rel=0.1)
+
+
+def test_learners_get_a_partition_per_core_of_few_files(spark, tmp_path):
+    """Small files are read several to a partition; learners' rows are spread over all cores nonetheless."""
+    from riskledger.workspace import compact
+
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100_000).repartition(cores + cores // 2).write.parquet(str(tmp_path / "few"))
+    few = spark.read.parquet(str(tmp_path / "few"))
+    assert few.rdd.getNumPartitions() < cores
+    assert compact(few).rdd.getNumPartitions() == cores

@@ -27,6 +27,8 @@ HASHES = CHUNKS * WIDTH
 FAR = 26
 #: Members of a bucket that one task compares with each other at most.
 BLOCK = 4096
+#: Rows of a batch that goes to Python; a row of a pair has two whole texts.
+BATCH_ROWS = 1000
 
 _steps = np.random.Generator(np.random.PCG64(7))
 _FACTORS = _steps.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -236,7 +238,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     words have an empty set and no links.  Rows without a doc_id have no links, no component and are kept.
     Rows that share a doc_id are one document with several texts.
     """
-    with Scratch(docs.sparkSession, "neardup") as scratch:
+    with Scratch(docs.sparkSession, "neardup", BATCH_ROWS) as scratch:
         sets = scratch.stage(describe(docs), "sets", keep=True)
         linked = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
         # Equal sets are one node, named by its smallest doc_id.

@@ -1,5 +1,6 @@
 """Tree learners over binned rows against plain numpy."""
 
+import dataclasses
 import math
 
 import numpy as np
@@ -98,3 +99,23 @@ def test_rare_values_keep_their_cuts(spark):
     rows = [(f"{i}", Vectors.dense([float(i == 500), float(i)])) for i in range(1000)]
     cuts = T.cut_points(spark.createDataFrame(rows, ["claim_id", "features"]))
     assert cuts[0].tolist() == [0.5] and len(cuts[1]) == 31
+
+
+def test_models_fitted_together_are_those_fitted_alone(flags, monkeypatch):
+    """Each model has its own rows, rounds and depth; together they take as many passes as the longest one alone."""
+    frame = flags[0].withColumn("_fold", F.pmod(F.hash("claim_id"), F.lit(3)))
+    fits = [L.boosting(rounds=9, depth=3, min_leaf=20), L.boosting(3.6, rounds=7, depth=4, row_share=1.0), *[L.boosting(rounds=9, depth=3, without=k) for k in range(3)]]
+    passes, whole = [], T.total
+    monkeypatch.setattr(T, "total", lambda blocks, sums: passes.append(1) or whole(blocks, sums))
+    together, shared = T.boosted_together(frame, fits, 7), len(passes)
+    alone = []
+    for how in fits:
+        rows = frame if how.without is None else frame.filter(F.col("_fold") != how.without)
+        passes.clear()
+        alone.append((*T.boosted_together(rows, [dataclasses.replace(how, without=None)], 7)[0], len(passes)))
+    assert shared == max(n for _, _, n in alone)
+    for (grown, cuts), (own, own_cuts, _) in zip(together, alone):
+        assert len(grown) == len(own) and all((a == b).all() for a, b in zip(cuts, own_cuts))
+        for a, b in zip(grown, own):
+            assert (a.feature == b.feature).all() and (a.cut == b.cut).all()
+            np.testing.assert_allclose(a.stats, b.stats, rtol=1e-9, atol=1e-9)
